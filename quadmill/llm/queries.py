@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, mixing, packing, quality_model, simhash
+from . import exact_dedup, language_model, main_text, mixing, packing, quality_model, repetition, secrets, simhash, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,26 @@ def op2_simhash_near_dedup(spark, sf_dir):
     return simhash.classify(table(spark, sf_dir, "documents"))
 
 
+def op3_secret_scan(spark, sf_dir):
+    return secrets.report(table(spark, sf_dir, "documents"))
+
+
+def op4_lm_scoring(spark, sf_dir):
+    return language_model.score(table(spark, sf_dir, "documents"))
+
+
+def op5_url_filter(spark, sf_dir):
+    return url_filter.judge(table(spark, sf_dir, "pages"))
+
+
+def op6_quality_rules(spark, sf_dir):
+    return repetition.assess(table(spark, sf_dir, "documents"))
+
+
+def op7_main_text(spark, sf_dir):
+    return main_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op8_quality_classifier(spark, sf_dir):
     return quality_model.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -44,4 +64,8 @@ select doc_id, keep_id, group_size, doc_id = keep_id as kept, h as text_sha256 f
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_exact_dedup": OP9_SQL, "op10_mixing": mixing.report_sql()}
+    return {
+        "op3_secret_scan": secrets.report_sql(),
+        "op9_exact_dedup": OP9_SQL,
+        "op10_mixing": mixing.report_sql(),
+    }
