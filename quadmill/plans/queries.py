@@ -479,9 +479,9 @@ def _cubic(p: list[str], t: str) -> str:
     return f"({b} + ({d} - {a} + ({a}*2 - {b}*5 + {d}*4 - {e} + ({b}*3 - {d}*3 + {e} - {a})*{t})*{t})*{t}*0.5)"
 
 
-@query("bicubic_sample", f"q_c as (select s.id, s.u, s.w, {', '.join(f'max(case when c.px=i+({i}) and c.py=j+({j}) then c.v end) as v{i + 1}{j + 1}' for j in (-1, 0, 1, 2) for i in (-1, 0, 1, 2))} from (select *, x-floor(x) as u, y-floor(y) as w, floor(x) as i, floor(y) as j from {_SAMPLES} where id % 3 = 0) s join cells c on c.px between i-1 and i+2 and c.py between j-1 and j+2 group by s.id, s.u, s.w having count(*) = 16) select id, round({_cubic([_cubic([f'v{i}{j}' for i in range(4)], 'u') for j in range(4)], 'w')}, 3) as value from q_c")
+@query("bicubic_sample", f"q_c as (select s.id, s.x, s.y, s.x-floor(s.x) as u, s.y-floor(s.y) as w, {', '.join(f'max(case when a.di={i} and b.dj={j} then c.v end) as v{i + 1}{j + 1}' for j in (-1, 0, 1, 2) for i in (-1, 0, 1, 2))} from {_SAMPLES} s cross join (values (-1),(0),(1),(2)) a(di) cross join (values (-1),(0),(1),(2)) b(dj) join cells c on c.px = cast(floor(s.x) as bigint)+a.di and c.py = cast(floor(s.y) as bigint)+b.dj where s.id % 3 = 0 group by s.id, s.x, s.y having count(*) = 16) select id, round({_cubic([_cubic([f'v{i}{j}' for i in range(4)], 'u') for j in range(4)], 'w')}+1e-7, 3) as value from q_c")
 def bicubic_sample(spark, sf):
-    return raster.sample(_samples(spark, sf).where("id % 3 = 0"), view(spark, sf, "cells"), "bicubic").select("id", F.round("value", 3).alias("value"))
+    return raster.sample(_samples(spark, sf).where("id % 3 = 0"), view(spark, sf, "cells"), "bicubic").select("id", F.round(c("value") + 1e-7, 3).alias("value"))
 
 
 _ANCHOR = ((10.0, 90.0), (60.0, 95.0), (58.0, 20.0), (12.0, 15.0))
@@ -513,7 +513,7 @@ def blend_over(spark, sf):
 
 # Terrain ----------------------------------------------------------------------------------------
 
-_W = "q_e as (select px, py, v/100.0 as v from cells), q_w as (select o.px, o.py, " + ", ".join(f"n{k}.v as w{k}" for k in range(9)) + " from q_e o " + " ".join(f"join q_e n{k} on n{k}.px = o.px+({k % 3 - 1}) and n{k}.py = o.py+({k // 3 - 1})" for k in range(9)) + ")"
+_W = "q_e as (select px, py, v/100.0 as v from cells), q_w as (select e.px-di as px, e.py-dj as py, " + ", ".join(f"max(case when di={k % 3 - 1} and dj={k // 3 - 1} then v end) as w{k}" for k in range(9)) + " from q_e e, (values (-1),(0),(1)) a(di), (values (-1),(0),(1)) b(dj) group by 1, 2 having count(*) = 9)"
 EW, NS = 3000.0, -3000.0
 
 
@@ -556,7 +556,7 @@ def slope_shade(spark, sf):
     return _windows(spark, sf).select("px", "py", F.round(terrain.slope_shade(s, terrain.hillshade(EW, NS)), 5).alias("value"))
 
 
-@query("nodata_windows", "q_e as (select px, py, case when v%50=0 then -9999.0 else v/100.0 end as v from cells), q_g as (select o.px, o.py, count(*) as n, min(e.v) as low from q_e o join q_e e on abs(o.px-e.px)<=1 and abs(o.py-e.py)<=1 group by o.px, o.py) select px, py, low < -1000 as transparent from q_g where n = 9")
+@query("nodata_windows", "q_e as (select px, py, case when v%50=0 then -9999.0 else v/100.0 end as v from cells), q_g as (select e.px-di as px, e.py-dj as py, count(*) as n, min(v) as low from q_e e, (values (-1),(0),(1)) a(di), (values (-1),(0),(1)) b(dj) group by 1, 2) select px, py, low < -1000 as transparent from q_g where n = 9")
 def nodata_windows(spark, sf):
     e = view(spark, sf, "cells").select("px", "py", F.when(c("v") % 50 == 0, -9999.0).otherwise(c("v") / 100.0).alias("v"))
     return terrain.windows(e).select("px", "py", terrain.transparent().alias("transparent"))
@@ -579,10 +579,10 @@ def relief_color(spark, sf):
     return e.select("px", "py", *[v.alias(n) for v, n in zip(terrain.relief_rgb(c("e")), "rgb")])
 
 
-@query("relief_texture", "select px, py, round(1-t1, 6) as desert, round(t1-t2, 6) as ground, round(t2-t3, 6) as grass, round(t3, 6) as snow from (select px, py, greatest(least(e/200.0,1.0),0.0) as t1, greatest(least((e-200)/400.0,1.0),0.0) as t2, greatest(least((e-1300)/900.0,1.0),0.0) as t3 from (select px, py, v/20000.0*3 as e from cells))")
+@query("relief_texture", "select px, py, round(1-t1+1e-9, 6) as desert, round(t1-t2+1e-9, 6) as ground, round(t2-t3+1e-9, 6) as grass, round(t3+1e-9, 6) as snow from (select px, py, greatest(least(e/200.0,1.0),0.0) as t1, greatest(least((e-200)/400.0,1.0),0.0) as t2, greatest(least((e-1300)/900.0,1.0),0.0) as t3 from (select px, py, v/20000.0*3 as e from cells))")
 def relief_texture(spark, sf):
     e = view(spark, sf, "cells").select("px", "py", (c("v") / 20000.0 * 3).alias("e"))
-    return e.select("px", "py", *[R6(v).alias(n) for v, n in zip(terrain.texture_weights(c("e")), terrain.TEXTURES)])
+    return e.select("px", "py", *[R6(v + 1e-9).alias(n) for v, n in zip(terrain.texture_weights(c("e")), terrain.TEXTURES)])
 
 
 @query("relief_blend", f"{_W} select px, py, greatest(0.0, cast((px*7+py*3)%256 as double) - (255-cast(case when c<=0 then 1 else floor(1+s*c) end as integer))*0.7) as value from {_ZT}")
@@ -630,7 +630,7 @@ def style_filter(spark, sf):
     return jobs.features_by_rule(table(spark, sf, "part").select("p_partkey", "p_size"), _RULES).select("p_partkey", "rule", "zoom")
 
 
-@query("math_functions", "select l_orderkey, l_linenumber, round(x-floor(x), 6) as fract, round(x-7*floor(x/7), 6) as floored_mod, round(t*t*(3-2*t), 6) as smooth, round(10*(1-t)+20*t, 6) as mixed, case when x < 3 then 0.0 else 1.0 end - case when x < 30 then 0.0 else 1.0 end as pulse, round(pow(t, ln(0.3)/ln(0.5)), 6) as biased, bit_count(n) = 1 as is_pow2, cast(case when n <= 1 then 1 else pow(2, length(bin(n-1))) end as bigint) as next_pow2 from (select *, greatest(0.0, least(1.0, (x+50)/100.0)) as t from (select l_orderkey, l_linenumber, l_partkey%100-50+l_discount as x, l_partkey%1000+1 as n from lineitem))")
+@query("math_functions", "select l_orderkey, l_linenumber, round(x-floor(x), 6) as fract, round(x-7*floor(x/7), 6) as floored_mod, round(t*t*(3-2*t), 6) as smooth, round(10*(1-t)+20*t, 6) as mixed, cast(case when x < 3 then 0.0 else 1.0 end - case when x < 30 then 0.0 else 1.0 end as double) as pulse, round(pow(t, ln(0.3)/ln(0.5)), 6) as biased, bit_count(n) = 1 as is_pow2, cast(case when n <= 1 then 1 else pow(2, length(bin(n-1))) end as bigint) as next_pow2 from (select *, greatest(0.0, least(1.0, (x+50)/100.0)) as t from (select l_orderkey, l_linenumber, l_partkey%100-50+l_discount as x, l_partkey%1000+1 as n from lineitem))")
 def math_functions(spark, sf):
     t = table(spark, sf, "lineitem").selectExpr("l_orderkey", "l_linenumber", "l_partkey%100-50+l_discount as x", "l_partkey%1000+1 as n").withColumn("t", general.clamp((c("x") + 50) / 100.0))
     return t.select(
@@ -651,3 +651,47 @@ def path_functions(spark, sf):
 def base_conversion(spark, sf):
     t = table(spark, sf, "part").select("p_partkey", general.to_base("p_partkey", 2).alias("binary"), general.to_base("p_partkey", 16).alias("hexadecimal"), general.to_base("p_partkey", 36).alias("x"))
     return t.select("p_partkey", "binary", "hexadecimal", general.from_base("x", 36).alias("back"))
+
+
+@query("streaming_merge", "select px, py, arg_max(v, event_id) as v from arrivals group by px, py")
+def streaming_merge(spark, sf):
+    import tempfile
+    import uuid
+
+    from ..streaming.ingest import ingest, merged
+
+    source = table(spark, sf, "events")
+    stream = spark.readStream.schema(source.schema).option("pathGlobFilter", "events*.parquet").parquet(sf)
+    cells = stream.selectExpr("event_id", "user_id%64 as px", "event_id%64 as py", "cast(round(value*100) as bigint) as v")
+    base = spark.sparkContext.getConf().get("spark.checkpoint.dir", "") or f"file://{tempfile.gettempdir()}"
+    path = f"{base}/quadmill-stream-{uuid.uuid4().hex}"
+    ingest(cells, path, ["px", "py"], "event_id", "v")
+    return merged(spark, path, ["px", "py"], "event_id", "v")
+
+
+def _mesh_points(spark, sf):
+    p = points(spark, sf, 3)
+    return p.select(grid.mercator_x("lng").alias("x"), grid.mercator_y("lat").alias("y"), (c("elev_c") / 1000.0).alias("elevation"), "tx", "ty")
+
+
+@query("mesh_tiles")
+def mesh_tiles(spark, sf):
+    from ..operators.mesh import triangulate
+
+    return triangulate(_mesh_points(spark, sf), 3, 64, (0, 0, 7, 7))
+
+
+@query("mesh_pyramid")
+def mesh_pyramid(spark, sf):
+    from ..operators.mesh import elevation_level, triangulate
+
+    return elevation_level(triangulate(_mesh_points(spark, sf), 3, 64, (0, 0, 7, 7)), 3, 64)
+
+
+@query("tile_archives")
+def tile_archives(spark, sf):
+    from ..sinks.tiles import archives, png_column
+
+    cells = view(spark, sf, "rgba_cells").where("ds = 'A'").drop("ds")
+    tiles = raster.to_blobs(cells, 16).select(lit(2).alias("lod"), "tx", "ty", png_column("rgba", 16).alias("data"))
+    return archives(tiles, ".png", 4)
