@@ -16,7 +16,7 @@ def drop_exact_copies(spark, docs, sf_dir):
 
 
 def drop_near_copies(spark, docs, sf_dir):
-    return simhash.dedup(docs)
+    return simhash.similar_dedup(docs)
 
 
 def mix_sources(spark, docs, sf_dir):

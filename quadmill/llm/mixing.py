@@ -11,7 +11,7 @@ Rates are known for the sources of the configuration and for the rest taken toge
 so that what the driver holds is bounded by the configuration, not by the data.
 
 Edge cases: a null or unlisted source belongs to the rest; null text has size zero; a
-source of size zero has rate zero weight and its documents stay once; repeated rows
+source of size zero has rate one; repeated rows
 draw the same number; an empty table gives an empty result; extra columns are kept.
 """
 

@@ -66,6 +66,7 @@ select doc_id, keep_id, group_size, doc_id = keep_id as kept, h as text_sha256 f
 def oracle_sql() -> dict[str, str]:
     return {
         "op3_secret_scan": secrets.report_sql(),
+        "op5_url_filter": url_filter.judge_sql(),
         "op9_exact_dedup": OP9_SQL,
         "op10_mixing": mixing.report_sql(),
     }

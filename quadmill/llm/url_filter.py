@@ -97,3 +97,29 @@ def judge(pages: DataFrame, rules=RULES) -> DataFrame:
     own = own.withColumn("rule", rule).withColumn("say", say)
     verdict = F.coalesce("say", "class_verdict", F.lit("allow"))
     return own.join(class_verdicts(links, rules), "node", "left").select("page_id", "host", "path", "rule", verdict.alias("verdict"))
+
+
+def judge_sql(rules=RULES) -> str:
+    """``judge`` in DuckDB SQL, with a recursive closure over the links."""
+    rest = lambda u, tail: f"regexp_extract(coalesce({u}, ''), '(?s)^.*?://{tail}', 1)"
+    host = lambda u: f"translate({rest(u, '([^/?#]*)')}, '{UPPER}', '{LOWER}')"
+    path, address = lambda u: rest(u, "[^/?#]*([^?#]*)"), lambda u: f"{host(u)} || {rest(u, '[^/?#]*([^#]*)')}"
+    fits = " ".join(f"when (h = '{r.partition('/')[0]}' or ends_with(h, '.{r.partition('/')[0]}')) and starts_with(p, '/{r.partition('/')[2]}') then '{r}'" for r, _ in sorted(rules, key=lambda r: -len(r[0])))
+    say = "case rule " + " ".join(f"when '{r}' then '{v}'" for r, v in rules) + " end"
+    quote = lambda s: "'" + s.replace("'", "''") + "'"
+    tags = " union all ".join(f"select url, replace(regexp_extract(t, {quote(_TARGETS[k])}, 1), '&amp;', '&') as \"to\" from (select url, unnest(regexp_extract_all(coalesce(html, ''), {quote(_TAGS[k])})) as t from pages where contains(url, '://'))" for k in _TAGS)
+    own = rest("url", "([^/?#]*)")
+    return f"""
+with recursive raw as ({tags}),
+links as (select url as src, case when contains("to", '://') then "to" when starts_with("to", '//') then 'http:' || "to"
+    when starts_with("to", '/') then regexp_extract(url, '(?s)^(.*?://[^/?#]*)', 1) || "to" end as dst from raw),
+ends as (select src as url from links where dst is not null union select dst from links where dst is not null),
+named as (select {address('url')} as a, {host('url')} as h, {path('url')} as p from ends),
+said as (select a, {say} as say from (select a, case {fits} end as rule from named)),
+e as (select {address('src')} as a, {address('dst')} as b from links where dst is not null
+      union select {address('dst')}, {address('src')} from links where dst is not null),
+reach(a, b) as (select a, a from e union select r.a, e.b from reach r join e on r.b = e.a),
+whole as (select r.a, case when bool_or(say = 'allow') then 'allow' when bool_or(say = 'block') then 'block' else 'allow' end as v
+      from reach r join said on said.a = r.b group by r.a),
+own as (select page_id, h as host, p as path, a, case {fits} end as rule from (select page_id, {host('url')} as h, {path('url')} as p, {address('url')} as a from pages))
+select page_id, host, path, rule, coalesce({say}, whole.v, 'allow') as verdict from own left join whole using (a)"""
