@@ -57,6 +57,13 @@ def token_hashes(text: str | None) -> list[int]:
     return [*map(digest, (text or "").encode("utf-8", "surrogatepass").lower().split()), END & (1 << 64) - 1]
 
 
+def parts(batch: pd.DataFrame, most: int = 1 << 22) -> Iterator[pd.DataFrame]:
+    """A batch in slices of about ``most`` characters, so that hashing them takes bounded memory."""
+    size = batch["body"].str.len().cumsum() // most
+    for _, rows in batch.groupby(size.to_numpy(), sort=False):
+        yield rows
+
+
 def hashes(texts) -> tuple[np.ndarray, np.ndarray]:
     """All tokens of some texts as signed hashes, and where each text ends."""
     each = [token_hashes(t) for t in texts]
@@ -74,7 +81,7 @@ def count_words(texts: DataFrame) -> DataFrame:
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[np.ndarray] = []
         size = 0
-        for batch in batches:
+        for batch in (p for b in batches for p in parts(b)):
             flat, _ = hashes(batch["body"])
             held.append(flat)
             size += len(flat)
@@ -96,13 +103,13 @@ def count_ngrams(texts: DataFrame, head: np.ndarray) -> pd.DataFrame:
     ngram numbers: bigram a * (HEAD + 1) + b with b = HEAD for any other word, then
     trigrams alike over the core. Tasks add up dense arrays of that fixed size.
     """
-    order, ranks = np.argsort(head), None
+    order = np.argsort(head)
     ranks = head[order]
     two, three = HEAD * (HEAD + 1), CORE * CORE * (CORE + 1)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(two + three, np.int64)
-        for batch in batches:
+        for batch in (p for b in batches for p in parts(b)):
             flat, ends = hashes(batch["body"])
             rank = rank_of(flat, ranks, order)
             starts = np.zeros(len(flat), bool)
@@ -235,12 +242,26 @@ class Model:
         return self
 
 
+def frequent_from(counts: DataFrame, known: int) -> int:
+    """The least count that at most ``known`` words reach: from a histogram by sixteenths of
+    a power of two, of a few hundred rows, so that no task or driver sorts all words."""
+    size = F.floor(F.log2("count") * 16)
+    steps = counts.groupBy(size.alias("step")).agg(F.count("*").alias("n"), F.min("count").alias("low")).orderBy(F.desc("step")).collect()
+    total, least = 0, 1 << 62
+    for r in steps:
+        total += r["n"]
+        if total > known:
+            break
+        least = r["low"]
+    return least
+
+
 def train(docs: DataFrame, known: int = KNOWN) -> tuple[Model, DataFrame]:
     """The model and the stored counts of all words."""
     texts = docs.where(~held_out()).select(text_or_empty().alias("body"))
     counts = stored(count_words(texts), "word-counts")
     total = counts.agg(F.sum("count").alias("n"), F.count("*").alias("v")).first()
-    top = counts.orderBy(F.desc("count"), "word").limit(known).union(counts.where(F.col("word") == END)).distinct().toPandas()
+    top = counts.where(F.col("count") >= frequent_from(counts, known)).union(counts.where(F.col("word") == END)).distinct().toPandas()
     model = Model(top["word"].to_numpy(np.int64), top["count"].to_numpy(np.int64), int(total["n"] or 0), int(total["v"]))
     return model.finish(count_ngrams(texts, model.head)), counts
 
@@ -253,7 +274,7 @@ def score(docs: DataFrame, known: int = KNOWN) -> DataFrame:
 
     def traverse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own = shared.value
-        for batch in batches:
+        for batch in (p for b in batches for p in parts(b)):
             flat, ends = hashes(batch["body"])
             count, hit = own.known(flat)
             base = np.where(hit, own.log_base(count), 0.0)
