@@ -27,7 +27,7 @@ from .common import text_or_empty
 
 BITS = 18
 ORDERS = (1, 2, 3, 4)
-MAX_TRAIN = 8000
+MAX_TRAIN = 6000
 HELD_OUT_OF = 5
 KEEP_FROM = 0.3
 CHUNK = 1 << 20
