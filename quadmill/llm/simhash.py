@@ -192,7 +192,10 @@ def similar_dedup(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
             out = pd.DataFrame(found, columns=["fp", "segments", "sketch"])
             yield out.assign(node=batch["node"].to_numpy(), doc_id=batch["doc_id"].astype("Int64").to_numpy(dtype=object))
 
-    rows = stored(rows.mapInPandas(measured, "node bigint, doc_id bigint, fp bigint, segments array<bigint>, sketch array<int>"), "near-rows")
+    rows = rows.mapInPandas(measured, "node bigint, doc_id bigint, fp bigint, segments array<bigint>, sketch array<int>")
+    # One row a key, so that the joins below have no aggregation beside them and their
+    # skewed partitions can be split.
+    rows = stored(rows.dropDuplicates(["node"]), "near-rows")
     first = stored(rows.groupBy("fp").agg(F.min("node").alias("rep")), "near-fingerprints")
     equal = rows.select("node", "fp").join(first, "fp").select(F.col("node").alias("src"), F.col("rep").alias("dst"))
     close = links(first.select("fp"))
@@ -200,7 +203,7 @@ def similar_dedup(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     edges = equal.union(close.select("a", "b")).union(similar_links(rows, similarity)).where("src <> dst")
     classes = stored(connected_components(edges, "near-links"), "near-classes")
 
-    own = rows.select("node", "doc_id").distinct().join(classes, "node")
+    own = rows.select("node", "doc_id").join(classes, "node")
     least = own.groupBy("component").agg(F.min(F.struct("doc_id", "node")).alias("least"))
     dropped = own.join(least, "component").where(F.col("node") != F.col("least.node")).select(F.col("node").alias("_qm_node"))
     keyed = docs.withColumn("_qm_node", key)
@@ -250,8 +253,11 @@ def similar_links(rows: DataFrame, similarity: float) -> DataFrame:
     met = each.join(shared.where("n > 1"), "segment")
     pairs = met.select("node", F.explode(F.array_distinct(F.array(*[f"lead{k}" for k in range(LEADERS)]))).alias("to")).where("node <> to")
     pairs = stored(pairs.select(F.least("node", "to").alias("src"), F.greatest("node", "to").alias("dst")).distinct(), "near-pairs")
-    sketches = rows.select("node", "sketch").dropDuplicates(["node"])
-    two = pairs.join(sketches.select(F.col("node").alias("src"), F.col("sketch").alias("a")), "src").join(sketches.select(F.col("node").alias("dst"), F.col("sketch").alias("b")), "dst")
+    sketches = rows.select("node", "sketch")
+    # A leader is the partner of many: the first join is stored, so that each join stands
+    # alone and its hot keys are dealt out.
+    half = stored(pairs.join(sketches.select(F.col("node").alias("src"), F.col("sketch").alias("a")), "src"), "near-halves")
+    two = half.join(sketches.select(F.col("node").alias("dst"), F.col("sketch").alias("b")), "dst")
 
     @F.pandas_udf("boolean")
     def alike(a: pd.Series, b: pd.Series) -> pd.Series:
