@@ -250,7 +250,7 @@ def similar_links(rows: DataFrame, similarity: float) -> DataFrame:
     """Verified links (src, dst) of rows (node, segments, sketch)."""
     each = stored(rows.select("node", F.explode("segments").alias("segment")).distinct(), "near-segments")
     shared = each.groupBy("segment").agg(F.count("*").alias("n"), *[F.min_by("node", F.xxhash64("node", F.lit(k))).alias(f"lead{k}") for k in range(LEADERS)])
-    met = each.join(shared.where("n > 1"), "segment")
+    met = each.join(stored(shared.where("n > 1"), "near-leaders"), "segment")  # stored: so that hot segments can be split
     pairs = met.select("node", F.explode(F.array_distinct(F.array(*[f"lead{k}" for k in range(LEADERS)]))).alias("to")).where("node <> to")
     pairs = stored(pairs.select(F.least("node", "to").alias("src"), F.greatest("node", "to").alias("dst")).distinct(), "near-pairs")
     sketches = rows.select("node", "sketch")
