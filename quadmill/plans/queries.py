@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import color, general, geodesy, grid
-from ..operators import binning, jobs, pyramid, raster, terrain
+from ..functions import color, crs, general, geodesy, grid, linear
+from ..operators import binning, jobs, pyramid, raster, terrain, vector
 from .fixtures import table, view, with_views
 
 QUERIES: dict[str, Callable] = {}
@@ -695,3 +695,73 @@ def tile_archives(spark, sf):
     cells = view(spark, sf, "rgba_cells").where("ds = 'A'").drop("ds")
     tiles = raster.to_blobs(cells, 16).select(lit(2).alias("lod"), "tx", "ty", png_column("rgba", 16).alias("data"))
     return archives(tiles, ".png", 4)
+
+
+@query("tile_jpegs")
+def tile_jpegs(spark, sf):
+    from ..sinks.jpeg import jpeg_column
+    from ..sinks.tiles import archives
+
+    cells = view(spark, sf, "rgba_cells").where("ds = 'A'").drop("ds")
+    tiles = raster.to_blobs(cells, 16).select(lit(2).alias("lod"), "tx", "ty", jpeg_column("rgba", 16, 85).alias("data"))
+    return archives(tiles, ".jpg", 4)
+
+
+# Other projections, vectors and features ---------------------------------------------------------
+
+
+def utm_sql(zone: int) -> str:
+    """Easting and northing of geo_points in a northern zone."""
+    e, up = grid.ECCENTRICITY, " + ".join(f"{a!r}*sin({2 * j}*xi)*cosh({2 * j}*eta)" for j, a in enumerate(crs.ALPHA, 1))
+    right = " + ".join(f"{a!r}*cos({2 * j}*xi)*sinh({2 * j}*eta)" for j, a in enumerate(crs.ALPHA, 1))
+    return f"""q_l as (select *, radians(lng - {6 * zone - 183}) as lam, sin(radians(lat)) as s from geo_points where abs(lng - {6 * zone - 183}) <= 6),
+q_t as (select *, sinh(atanh(s) - {e!r}*atanh({e!r}*s)) as t from q_l), q_x as (select *, atan2(t, cos(lam)) as xi, atanh(sin(lam)/sqrt(t*t+1)) as eta from q_t)
+select l_orderkey, l_linenumber, round({crs.ARC!r}*(eta + {right}) + 500000, 3) as east, round({crs.ARC!r}*(xi + {up}), 3) as north, round(lng, 6) as lng_back, round(lat, 6) as lat_back from q_x"""
+
+
+@query("utm_transform", utm_sql(33))
+def utm_transform(spark, sf):
+    p = view(spark, sf, "geo_points").where("abs(lng - 15) <= 6")
+    east, north = crs.transform("lng", "lat", 4326, 32633)
+    p = p.withColumn("e", east).withColumn("n", north)
+    lng, lat = crs.transform("e", "n", 32633, 4326)
+    return p.select("l_orderkey", "l_linenumber", F.round("e", 3).alias("east"), F.round("n", 3).alias("north"), R6(lng).alias("lng_back"), R6(lat).alias("lat_back"))
+
+
+@query("crs_transform", f"select l_orderkey, l_linenumber, round({MX}*pi()*6378137, 3) as x, round({MY}*pi()*6378137, 3) as y, round(pi()*6378137*ln(tan(pi()/4+radians(lat)/2)*pow((1-{grid.ECCENTRICITY}*sin(radians(lat)))/(1+{grid.ECCENTRICITY}*sin(radians(lat))), {grid.ECCENTRICITY / 2}))/pi(), 3) as y_ellipsoid from geo_points")
+def crs_transform(spark, sf):
+    x, y = crs.transform("lng", "lat", 4326, 3857)
+    return view(spark, sf, "geo_points").select("l_orderkey", "l_linenumber", F.round(x, 3).alias("x"), F.round(y, 3).alias("y"), F.round(crs.transform("lng", "lat", 4326, 3395)[1], 3).alias("y_ellipsoid"))
+
+
+@query("vector_math", "with q_v as (select l_orderkey, l_linenumber, l_quantity as a, l_discount*10 as b, l_tax*10 as c, l_linenumber+0.5::double as d from lineitem) select l_orderkey, l_linenumber, round(a*d+b*2+c*3, 6) as dotted, round(b*3-c*2, 6) as cross_x, round(c*d-a*3, 6) as cross_y, round(a*2-b*d, 6) as cross_z, round(a/sqrt(a*a+b*b+c*c), 6) as unit_x, round(-c, 6) as mirrored_z, round(-b+1, 6) as turned_x, round(a+2, 6) as turned_y from q_v")
+def vector_math(spark, sf):
+    a = [c("l_quantity"), c("l_discount") * 10, c("l_tax") * 10]
+    b = [c("l_linenumber") + 0.5, lit(2.0), lit(3.0)]
+    cross, turned = linear.cross(a, b), linear.applied(linear.translation(1, 2, 0) @ linear.rotation("z", 90), a)
+    return table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", R6(linear.dot(a, b)).alias("dotted"), *[R6(v).alias(f"cross_{n}") for n, v in zip("xyz", cross)], R6(linear.normalised(a)[0]).alias("unit_x"),
+        R6(linear.reflected(a, [lit(0.0), lit(0.0), lit(1.0)])[2]).alias("mirrored_z"), R6(turned[0]).alias("turned_x"), R6(turned[1]).alias("turned_y"),
+    )
+
+
+_BOXES = "cast((c_custkey*7919)%3000 as double)/10-150 as w, cast((c_custkey*104729)%1100 as double)/10-60 as s, cast(2+c_custkey%5 as double) as dx, cast(1+c_nationkey%4 as double) as dy"
+_BOX_SQL = "".join((
+    f"with q_f as (select c_nationkey, {_BOXES} from customer), q_w as (select c_nationkey, w, w+dx as e, s, s+dy as n from q_f), ",
+    "q_p as (select c_nationkey, ", ", ".join(f"cast(ceil({v}-0.5) as bigint) as {k}" for k, v in (
+        ("x0", "(radians(w)/pi()+1)/2*2048"), ("x1", "(radians(e)/pi()+1)/2*2048"), ("y0", "(1-ln(tan(pi()/4+radians(n)/2))/pi())/2*2048"), ("y1", "(1-ln(tan(pi()/4+radians(s)/2))/pi())/2*2048"))),
+    " from q_w), q_x as (select c_nationkey, y0, y1, unnest(range(x0, x1)) as px from q_p), q_c as (select c_nationkey, px, unnest(range(y0, y1)) as py from q_x), ",
+    "q_m as (select px, py, max(case when c_nationkey < 10 then 100 else 200 end) as r from q_c group by px, py) ",
+    "select px >> 8 as tx, py >> 8 as ty, count(*) as painted, cast(sum(r) as bigint) as red from q_m group by all",
+))
+
+
+@query("vector_tiles", _BOX_SQL)
+def vector_tiles(spark, sf):
+    boxes = table(spark, sf, "customer").selectExpr("c_custkey as feature", "c_nationkey", *_BOXES.split(", "))
+    corner = lambda x, y: F.struct(x.cast("double").alias("x"), y.cast("double").alias("y"))
+    w, s, e, n = c("w"), c("s"), c("w") + c("dx"), c("s") + c("dy")
+    boxes = boxes.withColumn("rings", F.array(F.array(corner(w, s), corner(e, s), corner(e, n), corner(w, n), corner(w, s))))
+    rules = [{"filter": "[c_nationkey] < 10", "fill": (100, 0, 0, 255)}, {"filter": "[c_nationkey] >= 10", "fill": (200, 0, 0, 255)}]
+    tiles = vector.render_tiles(boxes, rules, range(3, 4)).select("tx", "ty", "rgba")
+    return raster.to_cells(tiles).where("a > 0").groupBy(F.shiftright("px", 8).alias("tx"), F.shiftright("py", 8).alias("ty")).agg(F.count("*").alias("painted"), F.sum("r").cast("bigint").alias("red"))
