@@ -7,10 +7,10 @@ components over these links are the classes. A page without a rule is blocked if
 class has a blocked address and no explicitly allowed one; otherwise it is allowed.
 
 Edge cases: a null url, or one without ://, has empty host and path and belongs to no
-class; null html has no links; links to other schemes or without :// are relative and
-name no other host, so they are resolved against the page's host if they begin with a
-slash and ignored otherwise; repeated rows give repeated results; an empty table gives
-an empty result; other columns are not read.
+class; null html has no links; relative links are resolved against the page's address
+(dot segments stay as they are), and fragments and schemes without :// are ignored;
+repeated rows give repeated results; an empty table gives an empty result; other columns
+are not read.
 """
 
 from __future__ import annotations
@@ -33,6 +33,8 @@ _TARGETS = {
     "canonical": r"""(?is)\bhref\s*=\s*["']?([^"'\s>]+)""",
     "refresh": r"""(?is)\burl\s*=\s*["']?([^"'\s>]+)""",
 }
+#: What an absolute link begins with; a :// further on is part of a query.
+ABSOLUTE, SCHEME = "^[A-Za-z][A-Za-z0-9+.-]*://", "^[A-Za-z][A-Za-z0-9+.-]*:"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -70,8 +72,11 @@ def page_links(pages: DataFrame) -> DataFrame:
     targets = F.concat(*[link_targets(k) for k in _TAGS])
     each = pages.where("instr(url, '://') > 0").select("url", F.explode(targets).alias("to"))
     own = F.regexp_extract("url", r"(?s)^(.*?://[^/?#]*)", 1)
-    full = F.when(F.col("to").contains("://"), F.col("to")).when(F.col("to").startswith("//"), F.concat(F.lit("http:"), F.col("to")))
-    full = full.when(F.col("to").startswith("/"), F.concat(own, F.col("to")))
+    to, path = F.col("to"), path_of(F.col("url"))
+    folder = F.regexp_replace(path, "[^/]*$", "")
+    full = F.when(to.rlike(ABSOLUTE), to).when(to.startswith("//"), F.concat(F.lit("http:"), to))
+    full = full.when(to.startswith("/"), F.concat(own, to)).when(to.startswith("?"), F.concat(own, path, to))
+    full = full.when(~to.rlike(SCHEME) & (to != "") & ~to.startswith("#"), F.concat(own, F.when(folder == "", "/").otherwise(folder), to))
     return each.select(F.col("url").alias("src"), full.alias("dst")).where("dst is not null")
 
 
@@ -108,11 +113,13 @@ def judge_sql(rules=RULES) -> str:
     say = "case rule " + " ".join(f"when '{r}' then '{v}'" for r, v in rules) + " end"
     quote = lambda s: "'" + s.replace("'", "''") + "'"
     tags = " union all ".join(f"select url, replace(regexp_extract(t, {quote(_TARGETS[k])}, 1), '&amp;', '&') as \"to\" from (select url, unnest(regexp_extract_all(coalesce(html, ''), {quote(_TAGS[k])})) as t from pages where contains(url, '://'))" for k in _TAGS)
-    own = rest("url", "([^/?#]*)")
+    own = "regexp_extract(url, '(?s)^(.*?://[^/?#]*)', 1)"
+    folder = f"regexp_replace({path('url')}, '[^/]*$', '')"
     return f"""
 with recursive raw as ({tags}),
-links as (select url as src, case when contains("to", '://') then "to" when starts_with("to", '//') then 'http:' || "to"
-    when starts_with("to", '/') then regexp_extract(url, '(?s)^(.*?://[^/?#]*)', 1) || "to" end as dst from raw),
+links as (select url as src, case when regexp_matches("to", '{ABSOLUTE}') then "to" when starts_with("to", '//') then 'http:' || "to"
+    when starts_with("to", '/') then {own} || "to" when starts_with("to", '?') then {own} || {path('url')} || "to"
+    when not regexp_matches("to", '{SCHEME}') and "to" <> '' and not starts_with("to", '#') then {own} || case when {folder} = '' then '/' else {folder} end || "to" end as dst from raw),
 ends as (select src as url from links where dst is not null union select dst from links where dst is not null),
 named as (select {address('url')} as a, {host('url')} as h, {path('url')} as p from ends),
 said as (select a, {say} as say from (select a, case {fits} end as rule from named)),

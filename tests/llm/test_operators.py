@@ -274,6 +274,19 @@ def test_url_classes(spark):
     assert want == sorted(((r.page_id, r.host, r.path, r.rule, r.verdict) for r in url_filter.judge(df).collect()), key=str)
 
 
+def test_url_relative_links(spark):
+    link = lambda u: f'<link rel="canonical" href="{u}">'
+    data = [
+        (1, "http://a.org/b/c?d", link("e.html")), (2, "http://a.org/b/e.html", link("http://bad.net/")), (3, "http://a.org", link("f")), (4, "http://a.org/f#x", link("http://bad.net/")),
+        (5, "http://a.org/g", link("?p=1")), (6, "http://a.org/g?p=1", link("http://bad.net/")), (7, "http://b.org/h", link("/go?to=http://bad.net/")), (8, "http://b.org/i", link("mailto:x@bad.net")), (9, "http://b.org/j", link("#k")),
+    ]
+    df = spark.createDataFrame(data, "page_id bigint, url string, html string")
+    got = {r.page_id: r.verdict for r in url_filter.judge(df).collect()}
+    assert got == {k: "block" if k < 7 else "allow" for k in range(1, 10)}
+    con, pages = duckdb.connect(), df.toPandas()  # noqa: F841
+    assert dict(con.sql(url_filter.judge_sql()).select("page_id, verdict").fetchall()) == got
+
+
 def test_url_blocks_without_allow(spark):
     data = [(k, f"http://p{k}.org/", f'<link rel="canonical" href="http://p{k + 1}.org/">') for k in range(40)] + [(40, "http://p40.org/", '<link rel="canonical" href="http://z.net/">'), (41, "http://q.org/", "")]
     got = {r.page_id: r.verdict for r in url_filter.judge(spark.createDataFrame(data, "page_id bigint, url string, html string")).collect()}
