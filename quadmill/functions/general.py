@@ -107,3 +107,59 @@ def is_web(path) -> Column:
 
 def is_relative(path) -> Column:
     return ~unify(path).rlike("^(/|[A-Za-z]:|[A-Za-z]+://)")
+
+
+def clamp_zero(x) -> Column:
+    return F.greatest(col(x), F.lit(0.0))
+
+
+def b_curve(x) -> Column:
+    """The cubic B-spline's weight at a distance."""
+    cube = lambda k: F.pow(clamp_zero(col(x) + k), F.lit(3.0))
+    return (cube(2) - cube(1) * 4 + cube(0) * 6 - cube(-1) * 4 + cube(-2)) / 6
+
+
+def is_zero(x) -> Column:
+    return F.abs(col(x)) < F.lit(2.0**-52)
+
+
+def middle(text, start, n) -> Column:
+    """n characters from ``start``, which counts from 0."""
+    return F.substr(col(text), col(start) + 1, col(n))
+
+
+def tokens(text, separators: str = " \t\n") -> Column:
+    """The non-empty parts between any of the separators."""
+    marks = "".join(f"\\x{ord(s):02x}" for s in separators)
+    return F.filter(F.split(col(text), f"[{marks}]"), lambda t: t != "")
+
+
+def delimited(path) -> Column:
+    """Ends with one slash, unless it is empty."""
+    return F.when(unify(path) == "", "").otherwise(F.concat(F.rtrim(unify(path), F.lit("/")), F.lit("/")))
+
+
+def url_host(url) -> Column:
+    return F.regexp_extract(col(url), r"^[A-Za-z]+://([^/]*)", 1)
+
+
+def url_file(url) -> Column:
+    return F.regexp_extract(col(url), r"^[A-Za-z]+://[^/]*(/.*)?$", 1)
+
+
+def absolute(root, path) -> Column:
+    """``path`` below ``root`` if it is relative; dots at its front go up."""
+    up = F.size(F.filter(F.split(unify(path), "/"), lambda t: t == ".."))
+    rest = F.filter(F.split(unify(path), "/"), lambda t: (t != "..") & (t != ".") & (t != ""))
+    stem = F.split(F.rtrim(delimited(root), F.lit("/")), "/")
+    joined = F.array_join(F.concat(F.slice(stem, F.lit(1), F.greatest(F.size(stem) - up, F.lit(0))), rest), "/")
+    return F.when(is_relative(path), joined).otherwise(unify(path))
+
+
+def relative(path, folder) -> Column:
+    """``path`` as seen from ``folder``, both absolute."""
+    a = F.filter(F.split(unify(folder), "/"), lambda t: t != "")
+    b = F.filter(F.split(unify(path), "/"), lambda t: t != "")
+    same = F.zip_with(a, b, lambda x, y: F.coalesce(x == y, F.lit(False)))
+    common = F.aggregate(same, F.struct(F.lit(0).alias("n"), F.lit(True).alias("on")), lambda s, e: F.struct((s["n"] + (s["on"] & e).cast("int")).alias("n"), (s["on"] & e).alias("on")), lambda s: s["n"])
+    return F.array_join(F.concat(F.array_repeat(F.lit(".."), F.size(a) - common), F.slice(b, common + 1, F.size(b))), "/")

@@ -765,3 +765,15 @@ def vector_tiles(spark, sf):
     rules = [{"filter": "[c_nationkey] < 10", "fill": (100, 0, 0, 255)}, {"filter": "[c_nationkey] >= 10", "fill": (200, 0, 0, 255)}]
     tiles = vector.render_tiles(boxes, rules, range(3, 4)).select("tx", "ty", "rgba")
     return raster.to_cells(tiles).where("a > 0").groupBy(F.shiftright("px", 8).alias("tx"), F.shiftright("py", 8).alias("ty")).agg(F.count("*").alias("painted"), F.sum("r").cast("bigint").alias("red"))
+
+
+@query("string_functions", "select p_partkey, p_brand || '/' || p_size as kept, substr(p_name, 3, 4) as mid, len(list_filter(regexp_split_to_array(p_type, '[ ,]'), lambda t: t <> '')) as n_tokens, 'h' || p_partkey as host, '/a/' || p_size || '.png' as file, '/data/img/' || p_size || '.tif' as whole, '../img/' || p_size || '.tif' as seen, round(case when p_size < 2 then 1/6.0 else 0.0 end, 6) as spline from part")
+def string_functions(spark, sf):
+    t = table(spark, sf, "part").withColumn("n", c("p_size").cast("string"))
+    url = F.concat(lit("http://h"), c("p_partkey").cast("string"), lit("/a/"), c("n"), lit(".png"))
+    whole = general.absolute(lit("/data/dem"), F.concat(lit("../img/"), c("n"), lit(".tif")))
+    t = t.withColumn("url", url).withColumn("whole", whole)
+    return t.select(
+        "p_partkey", F.rtrim(general.delimited(F.concat("p_brand", lit("//"), "n")), lit("/")).alias("kept"), general.middle("p_name", lit(2), lit(4)).alias("mid"), F.size(general.tokens("p_type", " ,")).cast("bigint").alias("n_tokens"),
+        general.url_host("url").alias("host"), general.url_file("url").alias("file"), "whole", general.relative("whole", lit("/data/dem")).alias("seen"), R6(general.b_curve(c("p_size") * 1.0)).alias("spline"),
+    )

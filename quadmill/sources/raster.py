@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import re
+import struct
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Bytes of a file in which its header is looked for.
+HEADER = 1 << 16
 TILE_PATH = r"(\d+)/(-?\d+)/(-?\d+)\.[A-Za-z0-9]+$"
 
 
@@ -69,3 +74,51 @@ def images(spark: SparkSession, path: str) -> DataFrame:
             yield pd.DataFrame({"file": batch["origin"], "width": batch["width"], "height": batch["height"], "rgba": out})
 
     return rows.mapInPandas(order, "file string, width int, height int, rgba binary")
+
+
+def converted(pixels: bytes, source: str, target: str) -> bytes:
+    """Pixels with their channels in another order, such as BGR to RGBA; a new A is 255."""
+    a = np.frombuffer(pixels, np.uint8).reshape(-1, len(source))
+    full = np.full(len(a), 255, np.uint8)
+    return np.column_stack([a[:, source.index(c)] if c in source else full for c in target]).tobytes()
+
+
+def described(content: bytes) -> tuple[int, int, int] | None:
+    """Width, height and bands from the header of a PNG, JPEG or ASCII grid; None if it has none."""
+    if content[:8] == b"\x89PNG\r\n\x1a\n" and len(content) >= 26:
+        width, height = struct.unpack(">II", content[16:24])
+        return width, height, {0: 1, 2: 3, 3: 3, 4: 2, 6: 4}.get(content[25], 0)
+    if content[:2] == b"\xff\xd8":
+        at = 2
+        while at + 9 < len(content) and content[at] == 0xFF:
+            if 0xC0 <= content[at + 1] <= 0xCF and content[at + 1] not in (0xC4, 0xC8, 0xCC):
+                height, width, bands = struct.unpack(">HHB", content[at + 5 : at + 10])
+                return width, height, bands
+            at += 2 + int.from_bytes(content[at + 2 : at + 4], "big")
+        return None
+    head = dict(re.findall(rb"(?im)^\s*(ncols|nrows)\s+(\d+)\s*$", content[:1000]))
+    head = {k.lower(): int(v) for k, v in head.items()}
+    return (head[b"ncols"], head[b"nrows"], 1) if len(head) == 2 else None
+
+
+def metadata(spark: SparkSession, path: str) -> DataFrame:
+    """file, width, height, bands, good of raster files; a file that can't be read isn't good."""
+    files = spark.read.format("binaryFile").load(path).select("path", F.substring("content", 1, HEADER).alias("head"))
+
+    def read(batches):
+        for batch in batches:
+            found = [described(bytes(h)) for h in batch["head"]]
+            size = np.array([f or (0, 0, 0) for f in found]).reshape(-1, 3)
+            yield pd.DataFrame({"file": batch["path"], "width": size[:, 0], "height": size[:, 1], "bands": size[:, 2], "good": [f is not None for f in found]})
+
+    return files.mapInPandas(read, "file string, width int, height int, bands int, good boolean")
+
+
+def world_files(spark: SparkSession, path: str) -> DataFrame:
+    """file (without extension) and affine, six numbers in the order of grid.affine_apply:
+    origin x, step x, shear x, origin y, shear y, step y. Files state the centre of the first
+    pixel; the origin is its corner."""
+    text = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), F.split(F.regexp_replace("value", r"^\s+|\s+$", ""), r"\s+").alias("w")).where("size(w) = 6")
+    n = [F.element_at("w", k).try_cast("double") for k in range(1, 7)]
+    corner = [n[4] - n[0] / 2 - n[2] / 2, n[0], n[2], n[5] - n[1] / 2 - n[3] / 2, n[1], n[3]]
+    return text.select(F.regexp_replace("file", r"\.[^./]*$", "").alias("file"), F.array(*corner).alias("affine")).where("not exists(affine, x -> x is null)")

@@ -113,3 +113,27 @@ def test_pyramid_conserves_counts(spark):
     pts = spark.range(1000).select((F.col("id") * 7 % 256).alias("tx"), (F.col("id") * 13 % 256).alias("ty"))
     sums = pyramid.counts_all_levels(pts, 8).groupBy("lod").agg(F.sum("n").alias("n")).collect()
     assert {r.lod: r.n for r in sums} == dict.fromkeys(range(1, 9), 1000)
+
+
+def test_metadata_and_world_files(spark, tmp_path):
+    from quadmill.functions import grid
+    from quadmill.sinks.jpeg import jpeg
+
+    blob = bytes(range(24)) * 2
+    (tmp_path / "a.png").write_bytes(tiles.png(blob, 4, 3))
+    (tmp_path / "b.jpg").write_bytes(jpeg(blob, 3, 4))
+    (tmp_path / "c.asc").write_text("ncols 5\nnrows 2\n")
+    (tmp_path / "d.png").write_bytes(b"broken")
+    got = {r.file[-5:]: tuple(r)[1:] for r in source.metadata(spark, str(tmp_path)).collect()}
+    assert got == {"a.png": (4, 3, 4, True), "b.jpg": (3, 4, 3, True), "c.asc": (5, 2, 1, True), "d.png": (0, 0, 0, False)}
+    (tmp_path / "w").mkdir()
+    (tmp_path / "w" / "a.pgw").write_text("2\n0\n0\n-2\n101\n199\n")
+    (tmp_path / "w" / "b.pgw").write_text("2 x")
+    rows = source.world_files(spark, str(tmp_path / "w")).collect()
+    assert len(rows) == 1 and rows[0].file.endswith("/w/a") and rows[0].affine == [100, 2, 0, 200, 0, -2]
+    assert tuple(spark.range(1).select(*grid.affine_apply(rows[0].affine, F.lit(0.5), F.lit(0.5))).first()) == (101, 199)
+
+
+def test_channel_orders():
+    assert source.converted(bytes([1, 2, 3, 4, 5, 6]), "RGB", "BGRA") == bytes([3, 2, 1, 255, 6, 5, 4, 255])
+    assert source.converted(bytes([1, 2, 3, 4]), "RGBA", "RGB") == bytes([1, 2, 3])
