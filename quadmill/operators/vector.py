@@ -108,6 +108,23 @@ def laid_over(canvas: np.ndarray, mask: np.ndarray, color: np.ndarray) -> None:
     canvas[mask, 3:] = alpha
 
 
+def draw(canvas: np.ndarray, rings: list[np.ndarray], fill, stroke, wide: float) -> None:
+    """A feature over the canvas; only the window that it touches is worked on."""
+    rings = [r for r in rings if len(r)]
+    if not rings:
+        return
+    height, width = canvas.shape[:2]
+    points = np.concatenate(rings)
+    low, high = np.floor(points.min(axis=0) - wide / 2), np.ceil(points.max(axis=0) + wide / 2)
+    (i0, j0), (i1, j1) = np.maximum(low, 0).astype(int), np.minimum(high, (width, height)).astype(int)
+    if i0 >= i1 or j0 >= j1:
+        return
+    window, rings = canvas[j0:j1, i0:i1], [r - (i0, j0) for r in rings]
+    for color, mask in ((fill, covered), (stroke, lambda r, w, h: stroked(r, wide, w, h))):
+        if color[3]:
+            laid_over(window, mask(rings, i1 - i0, j1 - j0), np.asarray(color, float) / 255)
+
+
 def painted(rows: DataFrame, keys: list[str], width: int = 256, height: int = 256) -> DataFrame:
     """``keys`` and rgba of each picture, whose rows are painted by rule, then feature."""
 
@@ -125,17 +142,16 @@ def painted(rows: DataFrame, keys: list[str], width: int = 256, height: int = 25
                         done.append((*now, finish(canvas)))
                     now, canvas = key, np.zeros((height, width, 4))
                 rings = [np.array([(p["x"], p["y"]) for p in ring], float).reshape(-1, 2) for ring in row.rings]
-                rings = [r for r in rings if len(r)]
-                for color, mask in ((row.fill, covered), (row.stroke, lambda r, w, h, n=row.width: stroked(r, n, w, h))):
-                    if color[3]:
-                        laid_over(canvas, mask(rings, width, height), np.asarray(color, float) / 255)
+                draw(canvas, rings, row.fill, row.stroke, row.width)
             if done:
                 yield pd.DataFrame(done, columns=[*keys, "rgba"])
         if canvas is not None:
             yield pd.DataFrame([(*now, finish(canvas))], columns=[*keys, "rgba"])
 
     kinds = ", ".join(f"{k} {rows.schema[k].dataType.simpleString()}" for k in keys)
-    ordered = rows.repartition(*keys).sortWithinPartitions(*keys, "rule", "feature")
+    # A number of partitions is given since painting costs more than its bytes tell.
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = rows.repartition(n, *keys).sortWithinPartitions(*keys, "rule", "feature")
     return ordered.select(*keys, "rings", *STYLE).mapInPandas(paint, f"{kinds}, rgba binary")
 
 
