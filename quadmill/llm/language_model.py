@@ -1,33 +1,39 @@
-"""Scores of a smoothed n-gram model, kept as a weighted backoff automaton.
+"""Scores of a smoothed n-gram model of all words, with absolute discounting.
 
 The lowest order is the contract's base: all words of all training documents, each
-with half a count more, and one share for words never seen. Above it stand bigrams of
-the ``HEAD`` most frequent words and trigrams of the ``CORE`` most frequent, with
-absolute discounting: an arc of state h and word w weighs (c(hw) - D) / c(h) plus the
-backoff share times the lower order's probability, and the failure arc weighs the
-share that discounting and other words leave. Contexts count everything that follows
-them, so each state's weights sum to one over all words. A text is traversed once, from
-left to right; words outside the head take failure arcs down to the root.
-
-Counts cover all training documents. The automaton has at most HEAD**2 + CORE**3 arcs,
-a bound that doesn't depend on the data, so it is broadcast. The base's counts are
-not bounded: those of the ``KNOWN`` most frequent words are broadcast too, and all
-others are joined: the traversal leaves them as a sum over the document's rare words.
-
-Words are told apart by 64-bit hashes. Edge cases: null text is empty, and has the end
-alone; repeated rows give repeated results and are learned from as often; a null doc_id
-is learned from; with no training documents every word is unseen; an empty table gives
-an empty result; other columns are not read.
+with half a count more, and one share for words never seen. Above it stand all bigrams
+and all trigrams of the training documents: after a context h a word w weighs
+(c(hw) - D) / c(h), if it was seen there, plus D * t(h) / c(h) times the lower order's
+probability, t(h) being the different words seen after h; an unseen context leaves all
+to the lower order. A text's first word has no context, its second has one word. Every
+word but the end is followed by another, so c(h) is h's own count.
+
+No model is broadcast. Documents are stored as chunks of about ``CHUNK`` tokens. Each
+chunk sends its different trigrams, grouped by their first two words, to buckets of
+hashes, whose number grows with the input; a bucket adds up, and answers each chunk with
+the counts of what it sent. One chunk is told that it owns a bigram, so that the chunks
+can add up t of single words; these go to buckets in a second round. An n-gram is sent
+once a chunk, so frequent ones are no burden.
+
+Words are told apart by 64-bit hashes, contexts of two by 56 bits, and the words after
+one such context by 32. Edge cases: null text is empty, and has the end alone; repeated
+rows give repeated results and are learned from as often; a null doc_id is learned from;
+with no training documents every word is unseen; an empty table gives an empty result;
+other columns are not read.
+
+``train`` makes a bounded automaton of the most frequent words. Scores don't use it.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,6 +44,8 @@ KNOWN = 1 << 19
 DISCOUNT = 0.75
 HELD_OUT, OUT_OF = 1, 5
 FLUSH = 1 << 20
+#: Tokens of a chunk and of a bucket, about; and the least number of buckets.
+CHUNK, BUCKET, BUCKETS = 1 << 20, 1 << 19, 32
 
 WORDS = re.compile(rb"[^\x20\x09-\x0D]+")
 
@@ -266,46 +274,225 @@ def train(docs: DataFrame, known: int = KNOWN) -> tuple[Model, DataFrame]:
     return model.finish(count_ngrams(texts, model.head)), counts
 
 
-def score(docs: DataFrame, known: int = KNOWN) -> DataFrame:
-    """One row per row of ``docs``: doc_id, held_out, n_tokens, n_known, train_tokens,
-    base_score, score."""
-    model, counts = train(docs, known)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+def packed(values: np.ndarray, small: bool = True) -> bytes:
+    """Whole numbers from 0 as planes of bytes, as many as the largest needs; deflated if ``small``."""
+    width = max(1, (int(values.max(initial=0)).bit_length() + 7) // 8)
+    planes = np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
+    return bytes([width]) + (zlib.compress(planes, 1) if small else planes)
+
+
+def unpacked(blob: bytes, small: bool = True) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(blob[1:]) if small else blob[1:], np.uint8).reshape(blob[0], -1)
+    out = np.zeros((planes.shape[1], 8), np.uint8)
+    out[:, : blob[0]] = planes.T
+    return out.view("<u8").ravel().astype(np.uint64)
+
+
+def mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """56-bit hashes of pairs of words."""
+    h = (a ^ a >> np.uint64(29)) * np.uint64(0x9E3779B97F4A7C15) + b * np.uint64(0xC2B2AE3D27D4EB4F)
+    h = (h ^ h >> np.uint64(32)) * np.uint64(0xD6E8FEB86659FD93)
+    return (h ^ h >> np.uint64(32)) >> np.uint64(8)
+
+
+def make_chunks(docs: DataFrame) -> DataFrame:
+    """The documents' tokens: different words of a chunk, frequent ones first, and their places."""
+
+    def chunks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        first, number = TaskContext.get().partitionId() << 32, 0
+        ids, held, flats, sizes, size = [], [], [], [], 0
+
+        def chunk() -> pd.DataFrame:
+            words, codes, counts = np.unique(np.concatenate(flats).view(np.uint64), return_inverse=True, return_counts=True)
+            order = np.argsort(-counts, kind="stable")
+            rank = np.empty(len(order), np.int64)
+            rank[order] = np.arange(len(order))
+            row = {"chunk": first + number, "doc_id": ids, "held_out": held, "size": sizes, "words": words[order].tobytes(), "codes": packed(rank[codes])}
+            return pd.DataFrame({**{k: [v] for k, v in row.items()}, "tokens": [size]})
 
-    def traverse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own = shared.value
         for batch in (p for b in batches for p in parts(b)):
             flat, ends = hashes(batch["body"])
-            count, hit = own.known(flat)
-            base = np.where(hit, own.log_base(count), 0.0)
-            rank = rank_of(flat, own.head_sorted, own.head_order)
-            lower = np.where(rank == HEAD, base, 0.0)
-            rows, at = [], 0
-            for end in ends.tolist():
-                here = slice(at, end)
-                upper = own.automaton.traverse(rank[here].tolist())
-                rare = flat[here][~hit[here]]
-                rows.append((end - at, int(hit[here].sum()), float(base[here].sum()), upper + float(lower[here].sum()), rare))
-                at = end
-            out = pd.DataFrame(rows, columns=["n_tokens", "n_hit", "base_part", "score_part", "rare"])
-            yield out.assign(doc_id=batch["doc_id"].to_numpy(), held_out=batch["held_out"].to_numpy())
-
-    kinds = "doc_id bigint, held_out boolean, n_tokens bigint, n_hit bigint, base_part double, score_part double, rare array<bigint>"
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), held_out().alias("held_out"), text_or_empty().alias("body"))
-    part = stored(rows.mapInPandas(traverse, kinds).withColumn("row_id", F.monotonically_increasing_id()), "lm-parts")
-
-    n, v = model.tokens, model.types
-    c = F.coalesce("count", F.lit(0))
-    rare = part.select("row_id", F.explode("rare").alias("word")).groupBy("row_id", "word").agg(F.count("*").alias("times"))
-    rare = rare.join(counts, "word", "left").groupBy("row_id").agg(
-        F.sum(F.when(c > 0, F.col("times")).otherwise(0)).alias("rare_known"),
-        F.sum(F.col("times") * F.log10((c + 0.5) / F.lit(n + 0.5 * (v + 1)))).alias("rare_score"),
-    )
-    more = F.coalesce("rare_score", F.lit(0.0))
-    return part.drop("rare").join(rare, "row_id", "left").select(
-        "doc_id", "held_out", "n_tokens",
-        (F.col("n_hit") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
-        F.lit(n).cast("bigint").alias("train_tokens"),
-        (F.col("base_part") + more).alias("base_score"),
-        (F.col("score_part") + more).alias("score"),
-    )
+            ids += [None if pd.isna(d) else int(d) for d in batch["doc_id"]]
+            held += batch["held_out"].tolist()
+            sizes += np.diff(ends, prepend=0).tolist()
+            flats.append(flat)
+            size += len(flat)
+            if size >= CHUNK:
+                yield chunk()
+                number += 1
+                ids, held, flats, sizes, size = [], [], [], [], 0
+        if flats:
+            yield chunk()
+
+    rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), held_out().alias("held_out"), text_or_empty().alias("body"))
+    kinds = "chunk bigint, doc_id array<bigint>, held_out array<boolean>, size array<bigint>, words binary, codes binary, tokens bigint"
+    return stored(rows.mapInPandas(chunks, kinds), "lm-chunks")
+
+
+class Chunk:
+    """A chunk's words, its pairs of words, and what follows the pairs (0 after the end)."""
+
+    def __init__(self, row):
+        self.size = np.array(row["size"], np.int64)
+        self.words = np.frombuffer(row["words"], np.uint64)
+        self.codes = unpacked(row["codes"]).astype(np.int64)
+        learned = np.repeat(~np.array(row["held_out"], bool), self.size)
+        self.learned = learned
+        starts = np.zeros(len(self.codes), bool)
+        starts[np.cumsum(self.size) - self.size] = True
+        #: Where the second word of each pair stands, and where a third follows.
+        self.second = np.flatnonzero(~starts)
+        flat = self.words[self.codes]
+        self.pairs, self.pair = np.unique(mixed(flat[self.second - 1], flat[self.second]), return_inverse=True)
+        follow = np.append(flat[1:], np.uint64(0))[self.second] & np.uint64(0xFFFFFFFF)
+        self.last = np.append(starts[1:], True)[self.second]
+        follow[self.last] = 0
+        keys, self.triple = np.unique(self.pair.astype(np.uint64) << np.uint64(32) | follow, return_inverse=True)
+        self.follow, self.of = keys & np.uint64(0xFFFFFFFF), (keys >> np.uint64(32)).astype(np.int64)
+        self.triple_count = np.bincount(self.triple, learned[self.second], len(keys)).astype(np.int64)
+
+    def cuts(self, keys: np.ndarray, bits: int, buckets: int) -> np.ndarray:
+        """Where each bucket begins among sorted keys; buckets divide the keys' range evenly."""
+        return np.searchsorted(keys, np.array([(b << bits) // buckets for b in range(buckets)], np.uint64)).tolist() + [len(keys)]
+
+    def send_triples(self, chunk: int, buckets: int) -> pd.DataFrame:
+        cut = self.cuts(self.pairs, 56, buckets)
+        inner = np.searchsorted(self.of, cut).tolist()
+        each = np.bincount(self.of, minlength=len(self.pairs))
+        rows = []
+        for b in range(buckets):
+            p, t = slice(cut[b], cut[b + 1]), slice(inner[b], inner[b + 1])
+            if p.start < p.stop:
+                step = np.diff(self.pairs[p], prepend=np.uint64(0))
+                rows.append((chunk, b, packed(step, False), packed(each[p]), packed(self.follow[t], False), packed(self.triple_count[t])))
+        return pd.DataFrame(rows, columns=["chunk", "bucket", "keys", "each", "follow", "count"])
+
+    def read_triples(self, rows: pd.DataFrame) -> None:
+        rows = rows.sort_values("bucket")
+        whole = lambda name: np.concatenate([unpacked(x) for x in rows[name]] or [np.zeros(0, np.uint64)]).astype(np.int64)
+        self.c3, self.c2, self.t3, self.owned = map(whole, ("count", "total", "types", "owned"))
+
+    def sorted_words(self) -> tuple[np.ndarray, np.ndarray]:
+        order = np.argsort(self.words)
+        return order, self.words[order]
+
+    def send_words(self, chunk: int, buckets: int) -> pd.DataFrame:
+        """Words, their counts, and the bigrams that begin with them and that this chunk owns."""
+        count = np.bincount(self.codes, self.learned, len(self.words)).astype(np.int64)
+        where = np.empty(len(self.pairs), np.int64)
+        where[self.pair] = self.codes[self.second - 1]
+        types = np.bincount(where, self.owned, len(self.words)).astype(np.int64)
+        order, words = self.sorted_words()
+        cut, rows = self.cuts(words, 64, buckets), []
+        for b in range(buckets):
+            p = slice(cut[b], cut[b + 1])
+            if p.start < p.stop:
+                step = np.diff(words[p], prepend=np.uint64(0))
+                rows.append((chunk, b, packed(step, False), packed(count[order[p]]), packed(types[order[p]])))
+        return pd.DataFrame(rows, columns=["chunk", "bucket", "keys", "count", "types"])
+
+    def scores(self, rows: pd.DataFrame, n: int, v: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of each document: known words, base score, score."""
+        rows = rows.sort_values("bucket")
+        order, _ = self.sorted_words()
+        c1, t2 = np.zeros(len(order), np.int64), np.zeros(len(order), np.int64)
+        for into, name in ((c1, "count"), (t2, "types")):
+            into[order] = np.concatenate([unpacked(x) for x in rows[name]]).astype(np.int64)
+        one = ((c1 + 0.5) / (n + 0.5 * (v + 1)))[self.codes]
+        before = self.codes[self.second - 1]
+        c2, b = self.c2[self.pair], np.maximum(c1[before], 1)
+        two = np.where(c1[before] > 0, (np.maximum(c2 - DISCOUNT, 0) + DISCOUNT * t2[before] * one[self.second]) / b, one[self.second])
+        full = one.copy()
+        full[self.second] = two
+        # A pair with a word after it is that word's context.
+        at = np.flatnonzero(~self.last)
+        third, pair = self.second[at] + 1, self.pair[at]
+        c = self.c2[pair]
+        three = (np.maximum(self.c3[self.triple[at]] - DISCOUNT, 0) + DISCOUNT * self.t3[pair] * full[third]) / np.maximum(c, 1)
+        full[third] = np.where(c > 0, three, full[third])
+        starts = np.cumsum(self.size) - self.size
+        add = lambda x: np.add.reduceat(x, starts)
+        return add((c1[self.codes] > 0).astype(np.int64)), add(np.log10(one)), add(np.log10(full))
+
+
+def keys_of(blobs) -> list[np.ndarray]:
+    return [np.cumsum(unpacked(x, False), dtype=np.uint64) for x in blobs]
+
+
+def bucket_triples(rows: pd.DataFrame) -> pd.DataFrame:
+    """A bucket's answers: counts of triples; counts of pairs, the different words after them, and who owns them."""
+    keys = keys_of(rows["keys"])
+    each = [unpacked(x).astype(np.int64) for x in rows["each"]]
+    pairs, pair = np.unique(np.concatenate(keys), return_inverse=True)
+    of = np.repeat(pair, np.concatenate(each))
+    follow = np.concatenate([unpacked(x, False) for x in rows["follow"]])
+    count = np.concatenate([unpacked(x) for x in rows["count"]]).astype(np.int64)
+    triples, triple = np.unique(of.astype(np.uint64) << np.uint64(32) | follow, return_inverse=True)
+    c3 = np.bincount(triple, count, len(triples)).astype(np.int64)
+    total = np.bincount(of, count, len(pairs)).astype(np.int64)
+    types = np.bincount((triples >> np.uint64(32)).astype(np.int64)[c3 > 0], minlength=len(pairs))
+    owner = np.zeros(len(pairs), np.int64)
+    owner[pair[::-1]] = np.arange(len(pair))[::-1]
+    owned = ((owner[pair] == np.arange(len(pair))) & (total[pair] > 0)).astype(np.int64)
+    out, p, t = [], 0, 0
+    for chunk, bucket, k, e in zip(rows["chunk"], rows["bucket"], keys, each):
+        q, u = p + len(k), t + int(e.sum())
+        out.append((chunk, bucket, packed(c3[triple[t:u]]), packed(total[pair[p:q]]), packed(types[pair[p:q]]), packed(owned[p:q])))
+        p, t = q, u
+    return pd.DataFrame(out, columns=["chunk", "bucket", "count", "total", "types", "owned"])
+
+
+def bucket_words(rows: pd.DataFrame) -> pd.DataFrame:
+    """A bucket's answers, with its own tokens and different words of the training documents."""
+    keys = keys_of(rows["keys"])
+    words, word = np.unique(np.concatenate(keys), return_inverse=True)
+    add = lambda name: np.bincount(word, np.concatenate([unpacked(x) for x in rows[name]]).astype(float), len(words)).astype(np.int64)
+    count, types = add("count"), add("types")
+    out, p = [], 0
+    for chunk, bucket, k in zip(rows["chunk"], rows["bucket"], keys):
+        q = p + len(k)
+        mine = (int(count.sum()), int((count > 0).sum())) if not p else (0, 0)
+        out.append((chunk, bucket, packed(count[word[p:q]]), packed(types[word[p:q]]), *mine))
+        p = q
+    return pd.DataFrame(out, columns=["chunk", "bucket", "count", "types", "n", "v"])
+
+
+def score(docs: DataFrame, known: int = KNOWN) -> DataFrame:
+    """One row per row of ``docs``: doc_id, held_out, n_tokens, n_known, train_tokens,
+    base_score, score. ``known`` has no effect on the results: no counts are broadcast."""
+    chunks = make_chunks(docs)
+    tokens = chunks.agg(F.sum("tokens").alias("n")).first()["n"] or 0
+    buckets = max(BUCKETS, tokens // BUCKET)
+
+    def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for row in batch.to_dict("records"):
+                yield Chunk(row).send_triples(row["chunk"], buckets)
+
+    sent = chunks.mapInPandas(send, "chunk bigint, bucket int, keys binary, each binary, follow binary, count binary")
+    triples = stored(sent.groupBy("bucket").applyInPandas(bucket_triples, "chunk bigint, bucket int, count binary, total binary, types binary, owned binary"), "lm-triples")
+
+    def send_words(rows: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+        own = Chunk(rows.iloc[0])
+        own.read_triples(answers)
+        return own.send_words(int(rows["chunk"].iloc[0]), buckets)
+
+    sent = chunks.groupBy("chunk").cogroup(triples.groupBy("chunk")).applyInPandas(send_words, "chunk bigint, bucket int, keys binary, count binary, types binary")
+    words = stored(sent.groupBy("bucket").applyInPandas(bucket_words, "chunk bigint, bucket int, count binary, types binary, n bigint, v bigint"), "lm-words")
+    total = words.agg(F.sum("n").alias("n"), F.sum("v").alias("v")).first()
+    n, v = int(total["n"] or 0), int(total["v"] or 0)
+
+    def finish(rows: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+        row = rows.iloc[0]
+        own = Chunk(row)
+        third = answers["total"].notna()
+        own.read_triples(answers[third])
+        n_known, base, full = own.scores(answers[~third], n, v)
+        return pd.DataFrame({
+            "doc_id": pd.array(list(row["doc_id"]), dtype="Int64"), "held_out": np.array(row["held_out"], bool), "n_tokens": own.size,
+            "n_known": n_known, "train_tokens": n, "base_score": base, "score": full,
+        })
+
+    answers = triples.unionByName(words.drop("n", "v"), allowMissingColumns=True)
+    kinds = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
+    return chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(finish, kinds)

@@ -246,6 +246,43 @@ def test_automaton_sums_to_one(docs):
         assert math.isclose(total, 1.0, rel_tol=1e-6)
 
 
+def test_language_model_counts_all_ngrams(spark, monkeypatch):
+    """Scores of a model of all bigrams and trigrams, over words beyond any fixed head, in several chunks."""
+    monkeypatch.setattr(language_model, "CHUNK", 500)
+    rng = np.random.default_rng(8)
+    data = [(None, "w1 w2 w3")]
+    for k in range(60):
+        at = rng.integers(0, 1500, 12)
+        data.append((k, " ".join(f"w{a + i}" for a in at.tolist() for i in range(rng.integers(1, 6)))))
+    data += [(100, ""), (101, "unseen words w1"), (102, "w5"), (103, "w7 " * 1000)]
+    # Parts of one text each, so that chunks end between them.
+    monkeypatch.setattr(language_model, "parts", lambda batch: (batch.iloc[i : i + 1] for i in range(len(batch))))
+    chunks = language_model.make_chunks(spark.createDataFrame(data, "doc_id bigint, text string"))
+    got = rows(language_model.score(spark.createDataFrame(data, "doc_id bigint, text string")))
+    held = lambda d: d is not None and zlib.crc32(str(d).encode()) % 5 == 1
+    seqs = [(d, [*t.split(), None]) for d, t in data]
+    c = [Counter(), Counter(), Counter()]
+    for d, ws in seqs:
+        if not held(d):
+            for k in range(3):
+                c[k].update(tuple(ws[i : i + k + 1]) for i in range(len(ws) - k))
+    n, v = sum(c[0].values()), len(c[0])
+    types = [Counter(g[:-1] for g in x) for x in c]
+
+    def p(gram):
+        if len(gram) == 1:
+            return (c[0][gram] + 0.5) / (n + 0.5 * (v + 1))
+        seen = c[len(gram) - 2][gram[:-1]]
+        low = p(gram[1:])
+        return (max(c[len(gram) - 1][gram] - 0.75, 0) + 0.75 * types[len(gram) - 1][gram[:-1]] * low) / seen if seen else low
+
+    assert chunks.count() > 1 and v > 512
+    want = {d: math.fsum(math.log10(p(tuple(ws[max(0, i - 2) : i + 1]))) for i in range(len(ws))) for d, ws in seqs}
+    assert len(got) == len(want)
+    for r in got:
+        assert math.isclose(r["score"], want[r["doc_id"]], rel_tol=1e-9)
+
+
 # URLs ------------------------------------------------------------------------------------
 
 
