@@ -43,6 +43,9 @@ CHUNK = 1 << 15
 NEAR_WORDS, SIMILARITY = 5, 0.8
 SKETCH = 256
 SEGMENT_WORDS, SEGMENT_LEAST = 16, 8
+#: How far below the similarity a sketch's estimate discards a pair (six standard errors); of the
+#: order of shingles: one in so many texts is counted, and so many shingles are kept.
+SLACK, SAMPLE, COMMON = 0.15, 64, 1 << 17
 #: Texts of a segment with which each of its texts is compared.
 LEADERS = 8
 
@@ -172,27 +175,29 @@ def similar_dedup(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     with the smallest doc_id.
 
     Two texts are linked if the SimHashes of their five-word shingles are within
-    LINK_BITS (found by the pivot tables), or if their similarity is ``similarity`` or
-    more. SimHashes of texts that are just that similar differ in ten bits or so, which
-    no index finds cheaply; candidates for the second kind of link share the fingerprint
-    of a segment. Segments end at words chosen by their hash, so that an edit changes
-    the segment it is in and no other. Each text is compared with LEADERS texts of each of
-    its segments, each the first by another hash, and with all of them where there are no
-    more. That is linear however many texts share a segment; a text whose only likeness is
-    to none of the leaders of any segment they share stays (its recall is in the README). Similarity is the resemblance of shingle sets, exact up to
-    SKETCH shingles and estimated from the SKETCH smallest hashes beyond (standard error
-    0.025 at 0.8).
+    LINK_BITS (found by the pivot tables), or if their similarity, the resemblance of
+    their sets of 64-bit shingle hashes, is ``similarity`` or more.
+
+    Links of the second kind are found in two steps. Texts that share a content-defined
+    segment are compared with LEADERS texts of it: a cheap pass that joins most large
+    classes, and decides nothing else. Then texts that share a shingle of their prefixes
+    are compared if they are of different classes yet and their sizes allow the similarity.
+    A prefix is the first n - ceil(similarity * n) + 1 of a text's n shingles in one order
+    of all shingles, so that each similar pair shares one: no pair is lost. The order puts
+    shingles that are frequent in a sample last; exactness doesn't depend on the sample.
+    Sketches discard pairs that are below by SLACK or more; others are verified on the whole sets.
     """
     key = F.xxhash64("doc_id", text_or_empty())
-    rows = docs.select(key.alias("node"), F.col("doc_id").cast("bigint").alias("doc_id"), text_or_empty().alias("body"))
+    texts = docs.select(key.alias("node"), F.col("doc_id").cast("bigint").alias("doc_id"), text_or_empty().alias("body"))
+    shared = docs.sparkSession.sparkContext.broadcast(common_shingles(texts))
 
     def measured(batches):
         for batch in batches:
-            found = [measure(t) for t in batch["body"]]
-            out = pd.DataFrame(found, columns=["fp", "segments", "sketch"])
+            found = [measure(t, similarity, shared.value) for t in batch["body"]]
+            out = pd.DataFrame(found, columns=["fp", "segments", "sketch", "prefix", "n"])
             yield out.assign(node=batch["node"].to_numpy(), doc_id=batch["doc_id"].astype("Int64").to_numpy(dtype=object))
 
-    rows = rows.mapInPandas(measured, "node bigint, doc_id bigint, fp bigint, segments array<bigint>, sketch array<int>")
+    rows = texts.mapInPandas(measured, "node bigint, doc_id bigint, fp bigint, segments array<bigint>, sketch array<int>, prefix array<bigint>, n bigint")
     # One row a key, so that the joins below have no aggregation beside them and their
     # skewed partitions can be split.
     rows = stored(rows.dropDuplicates(["node"]), "near-rows")
@@ -200,7 +205,10 @@ def similar_dedup(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     equal = rows.select("node", "fp").join(first, "fp").select(F.col("node").alias("src"), F.col("rep").alias("dst"))
     close = links(first.select("fp"))
     close = close.join(first.select(F.col("fp").alias("src"), F.col("rep").alias("a")), "src").join(first.select(F.col("fp").alias("dst"), F.col("rep").alias("b")), "dst")
-    edges = equal.union(close.select("a", "b")).union(similar_links(rows, similarity)).where("src <> dst")
+    edges = equal.union(close.select("a", "b")).union(similar_links(rows, texts, similarity)).where("src <> dst")
+    before = stored(connected_components(edges, "near-links"), "near-before")
+    more = prefix_links(rows, texts, before, similarity)
+    edges = before.select(F.col("node").alias("src"), F.col("component").alias("dst")).union(more).where("src <> dst")
     classes = stored(connected_components(edges, "near-links"), "near-classes")
 
     own = rows.select("node", "doc_id").join(classes, "node")
@@ -212,18 +220,54 @@ def similar_dedup(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     return kept.withColumn("_qm_row", row).where("_qm_row = 1").select(*docs.columns)
 
 
-def measure(text: str) -> tuple[int, list[int], np.ndarray]:
-    """SimHash of five-word shingles, hashes of segments, and the sketch of the shingles."""
+def shingle_set(text: str) -> np.ndarray:
+    """Different hashes of a text's five-word shingles, in order."""
+    words = WORDS.findall(text.encode("utf-8", "surrogatepass").lower())
+    if not words:
+        return np.zeros(0, np.uint64)
+    digest, n = xxhash.xxh64_intdigest, len(words) - NEAR_WORDS + 1
+    shingles = zip(*(words[i:] for i in range(NEAR_WORDS))) if n > 1 else [words]
+    return np.unique(np.array([digest(b" ".join(s), SEED) for s in shingles], np.uint64))
+
+
+def common_shingles(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The shingles most frequent in a sample, sorted, and their frequencies there."""
+
+    def sets(batches):
+        for batch in batches:
+            for body in batch["body"]:
+                yield pd.DataFrame({"shingle": shingle_set(body).view(np.int64)})
+
+    sample = texts.where(F.pmod("node", F.lit(SAMPLE)) == 0).select("body").mapInPandas(sets, "shingle bigint")
+    top = sample.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1").orderBy(F.desc("n"), "shingle").limit(COMMON).toPandas()
+    shingles = top["shingle"].to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(shingles)
+    return shingles[order], top["n"].to_numpy(np.int64)[order]
+
+
+def prefix_of(shingles: np.ndarray, similarity: float, common: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    n, (known, times) = len(shingles), common
+    rank = np.zeros(n, np.int64)
+    if len(known) and n:
+        at = np.minimum(np.searchsorted(known, shingles), len(known) - 1)
+        rank = np.where(known[at] == shingles, times[at], 0)
+    most = n - int(np.ceil(similarity * n - 1e-9)) + 1 if n else 0
+    return shingles[np.lexsort((shingles, rank))[:most]].view(np.int64)
+
+
+def measure(text: str, similarity: float, common: tuple[np.ndarray, np.ndarray]) -> tuple[int, list[int], np.ndarray, np.ndarray, int]:
+    """SimHash of five-word shingles, hashes of segments, the shingles' sketch, prefix and number."""
     words = WORDS.findall(text.encode("utf-8", "surrogatepass").lower())
     digest, n = xxhash.xxh64_intdigest, max(1, len(words) - NEAR_WORDS + 1)
     if not words:
-        return 0, [], np.zeros(0, np.int32)
-    ones, sketch = np.zeros(64, np.int64), np.zeros(0, np.uint32)
+        return 0, [], np.zeros(0, np.int32), np.zeros(0, np.int64), 0
+    ones, sketch, every = np.zeros(64, np.int64), np.zeros(0, np.uint32), []
     for at in range(0, n, CHUNK):
         part = words[at : min(at + CHUNK, n) + NEAR_WORDS - 1]
         shingles = zip(*(part[i:] for i in range(NEAR_WORDS))) if n > 1 else [part]
         hashes = np.array([digest(b" ".join(s), SEED) for s in shingles], dtype=">u8")
         ones += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+        every.append(np.unique(hashes.astype(np.uint64)))
         sketch = np.unique(np.concatenate([sketch, (hashes & 0xFFFFFFFF).astype(np.uint32)]))[:SKETCH]
     ends = [i + 1 for i, w in enumerate(words) if digest(w) % SEGMENT_WORDS == 0]
     segments, begin = set(), 0
@@ -232,7 +276,8 @@ def measure(text: str) -> tuple[int, list[int], np.ndarray]:
             segments.add(signed(digest(b" ".join(words[begin:end]))))
             begin = end
     value = int.from_bytes(np.packbits(ones * 2 > n).tobytes(), "big")
-    return signed(value), sorted(segments), sketch.view(np.int32)
+    whole = np.unique(np.concatenate(every))
+    return signed(value), sorted(segments), sketch.view(np.int32), prefix_of(whole, similarity, common), len(whole)
 
 
 def resemblance(a: np.ndarray, b: np.ndarray) -> float:
@@ -246,21 +291,53 @@ def resemblance(a: np.ndarray, b: np.ndarray) -> float:
     return float((np.isin(both, a) & np.isin(both, b)).mean())
 
 
-def similar_links(rows: DataFrame, similarity: float) -> DataFrame:
-    """Verified links (src, dst) of rows (node, segments, sketch)."""
+def similar_links(rows: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """Verified links (src, dst) of rows (node, segments, sketch) with the leaders of their segments."""
     each = stored(rows.select("node", F.explode("segments").alias("segment")).distinct(), "near-segments")
     shared = each.groupBy("segment").agg(F.count("*").alias("n"), *[F.min_by("node", F.xxhash64("node", F.lit(k))).alias(f"lead{k}") for k in range(LEADERS)])
     met = each.join(stored(shared.where("n > 1"), "near-leaders"), "segment")  # stored: so that hot segments can be split
     pairs = met.select("node", F.explode(F.array_distinct(F.array(*[f"lead{k}" for k in range(LEADERS)]))).alias("to")).where("node <> to")
     pairs = stored(pairs.select(F.least("node", "to").alias("src"), F.greatest("node", "to").alias("dst")).distinct(), "near-pairs")
-    sketches = rows.select("node", "sketch")
-    # A leader is the partner of many: the first join is stored, so that each join stands
-    # alone and its hot keys are dealt out.
-    half = stored(pairs.join(sketches.select(F.col("node").alias("src"), F.col("sketch").alias("a")), "src"), "near-halves")
-    two = half.join(sketches.select(F.col("node").alias("dst"), F.col("sketch").alias("b")), "dst")
+    return verified(pairs, rows, texts, similarity)
+
+
+def prefix_links(rows: DataFrame, texts: DataFrame, before: DataFrame, similarity: float) -> DataFrame:
+    """Verified links (src, dst) of all rows (node, prefix, n, sketch) that are in different classes of ``before``."""
+    own = rows.select("node", "prefix", "n").join(before, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    each = stored(own.select("node", "component", "n", F.explode("prefix").alias("shingle")), "near-prefixes")
+    shared = each.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("shingle")
+    met = stored(each.join(shared, "shingle"), "near-shared")
+    other = met.select("shingle", F.col("node").alias("node2"), F.col("component").alias("component2"), F.col("n").alias("n2"))
+    fits = (F.col("n2") >= F.col("n") * similarity - 1e-9) & (F.col("n") >= F.col("n2") * similarity - 1e-9)
+    pairs = met.join(other, "shingle").where((F.col("component") < F.col("component2")) & fits)
+    pairs = stored(pairs.select(F.col("node").alias("src"), F.col("node2").alias("dst")).distinct(), "near-prefix-pairs")
+    return verified(pairs, rows, texts, similarity)
+
+
+def beside(pairs: DataFrame, table: DataFrame, column: str) -> DataFrame:
+    """Pairs with both sides' column as a and b. A node can be the partner of many: the first
+    join is stored, so that each join stands alone and its hot keys are dealt out."""
+    half = stored(pairs.join(table.select(F.col("node").alias("src"), F.col(column).alias("a")), "src"), "near-halves")
+    return half.join(table.select(F.col("node").alias("dst"), F.col(column).alias("b")), "dst")
+
+
+def verified(pairs: DataFrame, rows: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (src, dst) of ``similarity`` or more: sketches discard clear others, whole sets decide."""
+
+    @F.pandas_udf("boolean")
+    def likely(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([resemblance(x, y) >= similarity - SLACK for x, y in zip(a, b)], dtype="bool")
 
     @F.pandas_udf("boolean")
     def alike(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([resemblance(x, y) >= similarity for x, y in zip(a, b)], dtype="bool")
+        def similar(x, y):
+            x, y = shingle_set(x), shingle_set(y)
+            both = len(np.intersect1d(x, y, assume_unique=True))
+            return both >= similarity * (len(x) + len(y) - both) - 1e-9
+
+        return pd.Series([similar(x, y) for x, y in zip(a, b)], dtype="bool")
 
-    return two.where(alike("a", "b")).select("src", "dst")
+    left = stored(beside(pairs, rows, "sketch").where(likely("a", "b")).select("src", "dst"), "near-likely")
+    need = stored(left.select(F.col("src").alias("node")).union(left.select("dst")).distinct(), "near-needed")
+    bodies = stored(texts.select("node", "body").join(need, "node", "left_semi").dropDuplicates(["node"]), "near-bodies")
+    return stored(beside(left, bodies, "body").where(alike("a", "b")).select("src", "dst"), "near-alike")

@@ -167,6 +167,37 @@ def test_similar_texts_are_dropped(spark):
     assert sorted(kept) == [*range(20), *range(200, 220)]
 
 
+def near_kept(data):
+    """Who stays of (doc_id, text), by comparing all pairs."""
+    sets = {d: {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for d, w in ((d, t.split()) for d, t in data)}
+    ids = list(sets)
+    pairs = [(a, b) for i, a in enumerate(ids) for b in ids[i + 1 :] if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]) - 1e-9]
+    return sorted(set(components(ids, pairs).values()))
+
+
+def test_near_copies_of_any_kind_are_dropped(spark):
+    """Short texts with an edit at each place, pairs whose segments are all frequent, and
+    long pairs about the limit, against all pairs."""
+    rng = np.random.default_rng(9)
+    some = lambda n: ["".join(rng.choice(list("abcdefghij"), 6)) for _ in range(n)]
+    data = []
+    for size in (10, 20, 35):
+        for at in range(size):
+            w = some(size)
+            data += [w, w[:at] + ["changed"] + w[at + 1 :]]
+    passages = [some(40) for _ in range(12)]
+    for _ in range(60):
+        own = [passages[i] for i in rng.choice(12, 6, replace=False)]
+        data += [sum(own, []), sum(own, []) + some(9)]
+    for k in range(24):
+        w = some(900)
+        at = (np.arange(14 + k) * 900 // (14 + k)).tolist()
+        data += [w, [f"new{k}" if i in at else x for i, x in enumerate(w)]]
+    data = [(k, " ".join(w)) for k, w in enumerate(data)]
+    kept = [r.doc_id for r in simhash.similar_dedup(spark.createDataFrame(data, "doc_id bigint, text string")).collect()]
+    assert sorted(kept) == near_kept(data)
+
+
 # Secrets ------------------------------------------------------------------------------
 
 
