@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 
 from ..functions.geodesy import E2
 from ..functions.grid import RADIUS
-from .binning import cap_points, halo
+from .binning import halo
 
 SAME = 1e-12
 CORNER_CLEARANCE, EDGE_SPACING = 1 / 34, 1 / 17
@@ -331,11 +331,11 @@ def tile_row(tx: int, ty: int, lod: int, parts: dict, most: int) -> pd.DataFrame
 
 def triangulate(points: DataFrame, lod: int, max_points: int = 512, extent: tuple[int, int, int, int] | None = None) -> DataFrame:
     """Mesh tiles of points (x, y, elevation, tx, ty): each tile's points and its
-    neighbours' meet in one task, which is bounded as tiles are capped first."""
+    neighbours' meet in one task, are all triangulated, and reduced by least error. A task
+    holds the points of nine tiles: choose ``lod`` by their density."""
     if not 32 < max_points < 2048:
         raise ValueError("max_points must be in 33..2047")
-    capped = cap_points(points.select("x", "y", "elevation", "tx", "ty"), 4 * max_points, ["x", "y", "elevation"])
-    near = halo(capped.drop("rank"))
+    near = halo(points.select("x", "y", "elevation", "tx", "ty"))
     if extent:
         x0, y0, x1, y1 = extent
         near = near.where(near["cx"].between(x0 + 1, x1 - 1) & near["cy"].between(y0 + 1, y1 - 1))

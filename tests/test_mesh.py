@@ -4,7 +4,7 @@ import math
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from quadmill.operators.mesh import Delaunay, build, cut, in_circle, mesh_json, orient, reduce, thin
+from quadmill.operators.mesh import Delaunay, build, cut, in_circle, mesh_json, orient, reduce, thin, tile_box, triangulate
 
 place = st.tuples(st.integers(0, 12), st.integers(0, 12), st.integers(0, 50))
 
@@ -56,3 +56,12 @@ def test_neighbours_share_borders():
 
 def test_thinning():
     assert [p[0] for p in thin([(5, 0, 0), (0, 0, 0), (1, 0, 0), (2.5, 0, 0)], 0, 2)] == [0, 2.5, 5]
+
+
+def test_all_points_of_a_dense_tile_count(spark):
+    """A peak in the east of a tile with more than 4 * max_points points stays."""
+    x0, y0, x1, y1 = tile_box(3, 3, 3)
+    at = [(x0 + (x1 - x0) * (i + 0.5) / 20, y0 + (y1 - y0) * (j + 0.5) / 20, 50.0 if (i, j) == (17, 10) else 0.0) for i in range(20) for j in range(20)]
+    rows = spark.createDataFrame([(*p, 3, 3) for p in at], "x double, y double, elevation double, tx int, ty int")
+    (tile,) = triangulate(rows, 3, 64).collect()
+    assert any(p.z == 50.0 for p in tile.middle) and tile.n_points <= 64
