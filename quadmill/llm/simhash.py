@@ -1,18 +1,22 @@
 """SimHash near-dedup with pivot distance tables.
 
-A fingerprint's row in the pivot table holds its Hamming distances to many reference
-fingerprints. References differ on one band of bits only and agree outside, so that
-a distance there is, up to a constant, the distance within the band (the distance to
-a pattern less the distance to its complement on the band, halved). Two fingerprints
-that differ in at most ``LINK_BITS`` bits agree on one of ``LINK_BITS + 1`` bands, so
-all their coordinates of that band are equal: that makes the table searchable by an
-equality join. In the pairs that come out, a difference of more than ``LINK_BITS`` in
-any coordinate discards the pair (triangle inequality); survivors are verified.
-
-A cell of the table with more than ``CELL_ROWS`` fingerprints is not paired. Each of
-its members is filed under the 65 fingerprints at distance 0 or 1 instead; two
-members within two bits share one of these (a midpoint), and everything filed under
-one midpoint is within two bits, so that links come without pairs, exactly.
+The 64 bits are dealt out to bands, and a table is kept for each choice of all bands but
+LINK_BITS: two fingerprints that differ in at most LINK_BITS bits agree on all bits of one
+of these choices. A table has its own reference fingerprints, which differ from each other
+on its bits alone, so that a fingerprint's distances to them are distances within its bits.
+A fingerprint's row holds these distances, precomputed, for all tables. Pairs whose
+coordinates are all equal in one table are the candidates; that is an equality join, which
+random references could not give, as their distances are alike for most fingerprints. Of
+the candidates, a difference of more than LINK_BITS in any coordinate of any table discards
+the pair (triangle inequality); survivors are verified on all bits. Tables of more bands
+pin more bits: their number follows the number of fingerprints, so that what meets in a
+cell by chance stays a constant (3 tables of 21 bits, 6 of 32, 10 of 38).
+
+Where near copies crowd a cell, with more than ``CELL_ROWS`` fingerprints, pairs would be
+the square of the crowd. Each of its members is filed under the 65 fingerprints at distance
+0 or 1 instead; two members within two bits share one of these (a midpoint), and everything
+filed under one midpoint is within two bits, so that links come without pairs, exactly. At
+most 65 members can be filed under a midpoint.
 
 Edge cases: null text is empty; a text without words has fingerprint zero and links
 like others; repeated rows share a class; an empty table gives an empty result; other
@@ -22,7 +26,9 @@ columns are carried or ignored, never renamed.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from functools import reduce
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -30,13 +36,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import connected_components, stored, text_or_empty
+from .common import connected_components, stored, text_or_empty, text_pieces, whole_texts
 
 SEED = 42
 SHINGLE_WORDS = 3
 LINK_BITS = 2
-PIVOTS_A_BAND = 12
+PIVOTS = 10
 CELL_ROWS = 32
+#: Fingerprints up to which so many bands do.
+BANDS = ((1 << 21, 3), (1 << 31, 4), (1 << 62, 5))
 CHUNK = 1 << 15
 #: Of the filter: words of a shingle, similarity that links, hashes of a sketch, mean and
 #: least words of a segment.
@@ -71,97 +79,90 @@ def fingerprint(text: str | None, shingle_words: int = SHINGLE_WORDS) -> int:
     return int.from_bytes(np.packbits(ones * 2 > n).tobytes(), "big")
 
 
-def fingerprint_column(shingle_words: int = SHINGLE_WORDS) -> Column:
-    @F.pandas_udf("bigint")
-    def simhash(texts: pd.Series) -> pd.Series:
-        return pd.Series(np.array([fingerprint(t, shingle_words) for t in texts], dtype=np.uint64).astype(np.int64))
+def fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
+    """(doc_id, fp) of each row; whole texts, of which a task holds one batch."""
 
-    return simhash(text_or_empty())
+    def simhash(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in whole_texts(batches):
+            found = np.array([fingerprint(t, shingle_words) for t in batch["_qm_text"]], dtype=np.uint64)
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "fp": found.astype(np.int64)})
+
+    texts = text_pieces(docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text"))
+    return texts.mapInPandas(simhash, "doc_id string, fp bigint").select(F.col("doc_id").cast("bigint").alias("doc_id"), "fp")
 
 
 def signed(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
-def band_masks() -> list[int]:
-    """The 64 bits dealt out to LINK_BITS + 1 bands, as unsigned masks."""
-    bands = LINK_BITS + 1
-    return [sum(1 << i for i in range(64) if i * bands // 64 == b) for b in range(bands)]
+def bands_for(n: int) -> int:
+    return next(bands for most, bands in BANDS if n <= most)
 
 
-def pivots() -> list[list[int]]:
-    """Reference fingerprints of each band, drawn once from a fixed seed."""
-    rng = np.random.default_rng(20_240_607)
-    draw = [[int(x) for x in rng.integers(0, 1 << 63, PIVOTS_A_BAND, dtype=np.uint64)] for _ in band_masks()]
-    return [[(p << 1 ^ p >> 7) & mask for p in row] for row, mask in zip(draw, band_masks())]
+def table_masks(bands: int) -> list[int]:
+    """Bits of each table, as unsigned masks: all choices of ``bands`` - LINK_BITS bands."""
+    own = [sum(1 << i for i in range(64) if i * bands // 64 == b) for b in range(bands)]
+    return [sum(chosen) for chosen in combinations(own, bands - LINK_BITS)]
 
 
-def coordinates(fp: Column) -> list[list[Column]]:
-    """Distances to the references, by band."""
-    return [
-        [F.bit_count(fp.bitwiseAND(F.lit(signed(mask))).bitwiseXOR(F.lit(signed(p)))) for p in row]
-        for mask, row in zip(band_masks(), pivots())
-    ]
+def pivots(bands: int) -> list[list[int]]:
+    """Reference fingerprints of each table, drawn once from a fixed seed."""
+    rng = np.random.default_rng(20_240_607)
+    draw = lambda: int(rng.integers(0, 1 << 63, dtype=np.uint64)) << 1 ^ int(rng.integers(0, 1 << 63, dtype=np.uint64)) >> 7
+    return [[draw() & mask for _ in range(PIVOTS)] for mask in table_masks(bands)]
 
 
-def packed(row: list[Column]) -> Column:
-    """A band's coordinates, five bits each, in one long."""
-    return reduce(lambda a, b: F.shiftleft(a, 5).bitwiseOR(b), [c.cast("bigint") for c in row])
+def pivot_table(fps: DataFrame, bands: int) -> DataFrame:
+    """fp and its distances to each table's references, six bits each, packed in p0, p1, ..."""
+    out = []
+    for k, (mask, row) in enumerate(zip(table_masks(bands), pivots(bands))):
+        inside = F.col("fp").bitwiseAND(F.lit(signed(mask)))
+        distances = [F.bit_count(inside.bitwiseXOR(F.lit(signed(p)))).cast("bigint") for p in row]
+        out.append(reduce(lambda a, b: F.shiftleft(a, 6).bitwiseOR(b), distances).alias(f"p{k}"))
+    return fps.select("fp", *out)
 
 
 def coordinate_gap(a: Column, b: Column) -> Column:
     """Largest difference of two packed rows of coordinates."""
-    five = lambda x, i: F.shiftrightunsigned(x, 5 * i).bitwiseAND(F.lit(31))
-    return F.greatest(*[F.abs(five(a, i) - five(b, i)) for i in range(PIVOTS_A_BAND)])
-
-
-def pivot_table(fps: DataFrame) -> DataFrame:
-    """fp and its coordinates, a packed column for each band."""
-    bands = [packed(row).alias(f"p{b}") for b, row in enumerate(coordinates(F.col("fp")))]
-    return fps.select("fp", *bands)
-
-
-def links(fps: DataFrame) -> DataFrame:
-    """Links (src, dst) that join all fingerprints within LINK_BITS bits; fps: distinct."""
-    bands = range(len(band_masks()))
-    table = pivot_table(fps)
-    filed = table.select(
-        "fp", *[f"p{b}" for b in bands],
-        F.explode(F.array(*[F.struct(F.lit(b).alias("band"), F.col(f"p{b}").alias("cell")) for b in bands])).alias("at"),
-    ).select("fp", *[f"p{b}" for b in bands], "at.band", "at.cell")
-    filed = stored(filed, "pivot-table")
-    shared = filed.groupBy("band", "cell").agg(F.count("*").alias("n")).where("n > 1")
-    crowd = stored(filed.join(shared, ["band", "cell"]), "pivot-cells")
-
-    small = crowd.where(F.col("n") <= CELL_ROWS)
-    other = small.select("band", "cell", F.col("fp").alias("fp2"), *[F.col(f"p{b}").alias(f"q{b}") for b in bands])
-    near = [coordinate_gap(F.col(f"p{b}"), F.col(f"q{b}")) <= LINK_BITS for b in bands]
-    apart = F.bit_count(F.col("fp").bitwiseXOR(F.col("fp2")))
-    pairs = small.join(other, ["band", "cell"]).where(F.col("fp") < F.col("fp2"))
-    pairs = pairs.where(reduce(lambda a, b: a & b, near)).where(apart <= LINK_BITS).select(F.col("fp").alias("src"), F.col("fp2").alias("dst"))
+    six = lambda x, i: F.shiftrightunsigned(x, 6 * i).bitwiseAND(F.lit(63))
+    return F.greatest(*[F.abs(six(a, i) - six(b, i)) for i in range(PIVOTS)])
+
+
+def links(fps: DataFrame, bands: int | None = None) -> DataFrame:
+    """Links (src, dst) that join all fingerprints within LINK_BITS bits; fps: distinct, stored."""
+    bands = bands or bands_for(fps.count())
+    columns = [f"p{k}" for k in range(len(table_masks(bands)))]
+    at = F.explode(F.array(*[F.struct(F.lit(k).alias("table"), F.col(p).alias("cell")) for k, p in enumerate(columns)]))
+    filed = stored(pivot_table(fps, bands).select("fp", *columns, at.alias("at")).select("fp", *columns, "at.*"), "pivot-table")
+    # Stored, like all sides of joins here that were aggregated: so a hot cell can be split.
+    shared = stored(filed.groupBy("table", "cell").agg(F.count("*").alias("n")).where("n > 1"), "pivot-cells")
+    crowd = stored(filed.join(shared, ["table", "cell"]), "pivot-crowd")
+
+    few = crowd.where(F.col("n") <= CELL_ROWS).groupBy("table", "cell").agg(F.array_sort(F.collect_list(F.struct("fp", *columns))).alias("rows"))
+    pairs = few.select("rows", F.posexplode("rows").alias("i", "a")).select("a", F.explode(F.slice("rows", F.col("i") + 2, F.lit(CELL_ROWS))).alias("b"))
+    a, b = F.col("a"), F.col("b")
+    near = reduce(lambda x, y: x & y, [coordinate_gap(a[p], b[p]) <= LINK_BITS for p in columns])
+    pairs = pairs.where(near).where(F.bit_count(a["fp"].bitwiseXOR(b["fp"])) <= LINK_BITS).select(a["fp"].alias("src"), b["fp"].alias("dst"))
 
     dense = crowd.where(F.col("n") > CELL_ROWS).select("fp").distinct()
     ball = F.array(F.col("fp"), *[F.col("fp").bitwiseXOR(F.lit(signed(1 << i))) for i in range(64)])
     met = dense.select("fp", F.explode(ball).alias("mid")).groupBy("mid").agg(F.collect_list("fp").alias("fps"))
     met = met.where(F.size("fps") > 1).select(F.array_min("fps").alias("src"), F.explode("fps").alias("dst"))
-    return pairs.union(met.where("src <> dst")).distinct()
+    return pairs.union(met.where("src <> dst"))
 
 
 def fingerprint_classes(rows: DataFrame) -> DataFrame:
-    """(fp, component_id) of ``rows`` (doc_id, fp)."""
+    """(fp, component_id) of ``rows`` (doc_id, fp), stored."""
     first = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "fingerprints")
     linked = connected_components(links(first.select("fp")), "simhash-links").withColumnRenamed("node", "fp")
-    named = first.join(linked, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
-    named = stored(named, "fingerprint-classes")
-    least = named.groupBy("component").agg(F.min(F.struct("first_id", "fp")).alias("least"))
-    return named.join(least, "component").select(
-        "fp", F.col("least.first_id").alias("component_id")
-    )
+    named = stored(first.join(linked, "fp", "left").withColumn("component", F.coalesce("component", "fp")), "fingerprint-named")
+    least = stored(named.groupBy("component").agg(F.min("first_id").alias("component_id")), "fingerprint-least")
+    return stored(named.join(least, "component").select("fp", "component_id"), "fingerprint-classes")
 
 
 def classify(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: doc_id, fingerprint (hex), component_id."""
-    rows = stored(docs.select("doc_id", fingerprint_column().alias("fp")), "simhash")
+    rows = stored(fingerprints(docs), "simhash")
     return rows.join(fingerprint_classes(rows), "fp").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
@@ -192,12 +193,14 @@ def similar_dedup(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(common_shingles(texts))
 
     def measured(batches):
-        for batch in batches:
-            found = [measure(t, similarity, shared.value) for t in batch["body"]]
+        for batch in whole_texts(batches):
+            found = [measure(t, similarity, shared.value) for t in batch["_qm_text"]]
             out = pd.DataFrame(found, columns=["fp", "segments", "sketch", "prefix", "n"])
-            yield out.assign(node=batch["node"].to_numpy(), doc_id=batch["doc_id"].astype("Int64").to_numpy(dtype=object))
+            yield out.assign(node=batch["node"].to_numpy(), doc_id=batch["doc_id"].to_numpy(dtype=object))
 
-    rows = texts.mapInPandas(measured, "node bigint, doc_id bigint, fp bigint, segments array<bigint>, sketch array<int>, prefix array<bigint>, n bigint")
+    pieces = text_pieces(texts.withColumn("doc_id", F.col("doc_id").cast("string")), "body")
+    rows = pieces.mapInPandas(measured, "node bigint, doc_id string, fp bigint, segments array<bigint>, sketch array<int>, prefix array<bigint>, n bigint")
+    rows = rows.withColumn("doc_id", F.col("doc_id").cast("bigint"))
     # One row a key, so that the joins below have no aggregation beside them and their
     # skewed partitions can be split.
     rows = stored(rows.dropDuplicates(["node"]), "near-rows")
@@ -212,7 +215,8 @@ def similar_dedup(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     classes = stored(connected_components(edges, "near-links"), "near-classes")
 
     own = rows.select("node", "doc_id").join(classes, "node")
-    least = own.groupBy("component").agg(F.min(F.struct("doc_id", "node")).alias("least"))
+    own = stored(own, "near-own")
+    least = stored(own.groupBy("component").agg(F.min(F.struct("doc_id", "node")).alias("least")), "near-least")
     dropped = own.join(least, "component").where(F.col("node") != F.col("least.node")).select(F.col("node").alias("_qm_node"))
     keyed = docs.withColumn("_qm_node", key)
     kept = keyed.join(dropped, "_qm_node", "left_anti")
@@ -234,11 +238,11 @@ def common_shingles(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """The shingles most frequent in a sample, sorted, and their frequencies there."""
 
     def sets(batches):
-        for batch in batches:
-            for body in batch["body"]:
+        for batch in whole_texts(batches):
+            for body in batch["_qm_text"]:
                 yield pd.DataFrame({"shingle": shingle_set(body).view(np.int64)})
 
-    sample = texts.where(F.pmod("node", F.lit(SAMPLE)) == 0).select("body").mapInPandas(sets, "shingle bigint")
+    sample = text_pieces(texts.where(F.pmod("node", F.lit(SAMPLE)) == 0).select("node", "body"), "body").mapInPandas(sets, "shingle bigint")
     top = sample.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1").orderBy(F.desc("n"), "shingle").limit(COMMON).toPandas()
     shingles = top["shingle"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(shingles)

@@ -13,7 +13,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from quadmill.llm import exact_dedup, language_model, main_text, mixing, packing, quality_model, repetition, secrets, simhash, url_filter
+from quadmill.llm import common, exact_dedup, language_model, main_text, mixing, packing, quality_model, repetition, secrets, simhash, url_filter
 
 SF = "/root/testdata/sf0.001"
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -134,7 +134,8 @@ def test_simhash(docs):
     assert {d: r["component_id"] for d, r in got.items()} == want
 
 
-def test_pivot_links_are_exact(spark):
+@pytest.mark.parametrize("bands", [None, 4, 5])
+def test_pivot_links_are_exact(spark, bands):
     """Random fingerprints around a few centres, with cells above CELL_ROWS."""
     rng = np.random.default_rng(5)
     fps = set()
@@ -145,7 +146,7 @@ def test_pivot_links_are_exact(spark):
                 f ^= 1 << int(b)
             fps.add(f)
     fps = sorted(fps)
-    got = simhash.links(spark.createDataFrame([(simhash.signed(f),) for f in fps], "fp bigint")).collect()
+    got = simhash.links(spark.createDataFrame([(simhash.signed(f),) for f in fps], "fp bigint"), bands).collect()
     links = {(r.src & (1 << 64) - 1, r.dst & (1 << 64) - 1) for r in got}
     assert all((a ^ b).bit_count() <= 2 for a, b in links)
     want = [(a, b) for i, a in enumerate(fps) for b in fps[i + 1 :] if (a ^ b).bit_count() <= 2]
@@ -198,6 +199,50 @@ def test_near_copies_of_any_kind_are_dropped(spark):
     assert sorted(kept) == near_kept(data)
 
 
+def test_components_contracted_and_by_stars_agree(spark, monkeypatch):
+    """In one part, in several, and native; with a hot node, a long path and loops."""
+    rng = np.random.default_rng(3)
+    edges = [(0, k) for k in range(1, 400)] + [(k, k + 1) for k in range(1000, 1100)] + [(5000, 5000)] + rng.integers(2000, 2600, (400, 2)).tolist()
+    df = spark.createDataFrame([(int(a), int(b)) for a, b in edges], "src bigint, dst bigint")
+    want = components({n for a, b in edges for n in (a, b) if a != b}, edges)
+    for chunk, native in ((1 << 19, False), (100, False), (1 << 19, True)):
+        monkeypatch.setattr(common, "CHUNK_EDGES", chunk)
+        got = common.connected_components(df, native=native).collect()
+        assert {r.node: r.component for r in got} == want and len(got) == len(want)
+
+
+def test_hot_nodes_are_split(spark):
+    """The joins of a star step meet nothing but scans, so that skewed partitions are split."""
+    conf = {"autoBroadcastJoinThreshold": "-1", "adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k", "adaptive.advisoryPartitionSizeInBytes": "8k", "adaptive.skewJoin.skewedPartitionFactor": "1.5"}
+    before = {k: spark.conf.get(f"spark.sql.{k}") for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(f"spark.sql.{k}", v)
+        spark.range(1, 60_001).selectExpr("0L as src", "id as dst").repartition(16).write.mode("overwrite").parquet(path := common.table_path(spark, "star"))
+        both = spark.read.parquet(path)
+        both = both.union(both.select("dst", "src"))
+        lowest = common.stored(both.groupBy(F.col("src").alias("n")).agg(F.min("dst").alias("low")), "lowest")
+        joined = both.join(lowest, both["src"] == lowest["n"])
+        joined.count()
+        rows = joined.select("dst", "low")
+        rows.write.format("noop").mode("overwrite").save()
+        plan = joined._jdf.queryExecution()
+        joined.collect()
+        assert "isSkew" in plan.executedPlan().toString() or "skew=true" in plan.executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(f"spark.sql.{k}", v)
+
+
+def test_long_texts_are_cut_and_whole_again(spark, monkeypatch):
+    monkeypatch.setattr(common, "PIECE", 7)
+    texts_in = [(0, None), (1, ""), (2, "a" * 7), (3, "é\U0001f600\n" * 20), (4, "b" * 8)]
+    pieces = common.text_pieces(spark.createDataFrame(texts_in, "doc_id bigint, text string"))
+    assert pieces.agg(F.max(F.length("_qm_part"))).first()[0] == 7
+    back = pieces.mapInPandas(lambda it: (b[["doc_id", "_qm_text"]] for b in common.whole_texts(it)), "doc_id bigint, _qm_text string")
+    assert sorted((r.doc_id, r._qm_text) for r in back.collect()) == [(d, t or "") for d, t in texts_in]
+
+
 # Secrets ------------------------------------------------------------------------------
 
 
