@@ -1,32 +1,36 @@
-"""Scores of a smoothed n-gram model of all words, with absolute discounting.
+"""Scores of a smoothed n-gram model of all words, by a weighted backoff automaton.
 
 The lowest order is the contract's base: all words of all training documents, each
 with half a count more, and one share for words never seen. Above it stand all bigrams
-and all trigrams of the training documents: after a context h a word w weighs
-(c(hw) - D) / c(h), if it was seen there, plus D * t(h) / c(h) times the lower order's
-probability, t(h) being the different words seen after h; an unseen context leaves all
-to the lower order. A text's first word has no context, its second has one word. Every
-word but the end is followed by another, so c(h) is h's own count.
-
-No model is broadcast. Documents are stored as chunks of about ``CHUNK`` tokens. Each
-chunk sends its different trigrams, grouped by their first two words, to buckets of
-hashes, whose number grows with the input; a bucket adds up, and answers each chunk with
-the counts of what it sent. One chunk is told that it owns a bigram, so that the chunks
-can add up t of single words; these go to buckets in a second round. An n-gram is sent
-once a chunk, so frequent ones are no burden.
+and all trigrams of the training documents, with absolute discounting: after a context h
+a word w weighs (c(hw) - D) / c(h), if it was seen there, plus D * t(h) / c(h) times the
+lower order's probability, t(h) being the different words seen after h; an unseen context
+leaves all to the lower order. A text's first word has no context, its second has one
+word. Every word but the end is followed by another, so c(h) is h's own count.
+
+As an automaton: states are the contexts seen (none, a word, two words); an arc reads a
+word seen after its state, weighs the logarithm of its probability there and leads to the
+longest state that the words read end in; a failure arc weighs log D * t(h) / c(h) and
+leads to the state without the first word. A text is read once from left to right: from
+the state carried, failure arcs are followed up to a state that has an arc for the word.
+
+No model is broadcast. Documents are stored as chunks of about ``CHUNK`` tokens, and each
+chunk gets the part of the automaton that its own words can reach. It sends its different
+trigrams, grouped by their first two words, to buckets of hashes, whose number grows with
+the input; a bucket adds up, and answers each chunk with the counts of what it sent. One
+chunk is told that it owns a bigram, so that the chunks can add up t of single words;
+these go to buckets in a second round. An n-gram is sent once a chunk, so frequent ones
+are no burden. A task holds the arrays of one chunk (or of its longest document).
 
 Words are told apart by 64-bit hashes, contexts of two by 56 bits, and the words after
 one such context by 32. Edge cases: null text is empty, and has the end alone; repeated
 rows give repeated results and are learned from as often; a null doc_id is learned from;
 with no training documents every word is unseen; an empty table gives an empty result;
 other columns are not read.
-
-``train`` makes a bounded automaton of the most frequent words. Scores don't use it.
 """
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
 
@@ -37,17 +41,14 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored, text_or_empty
+from .common import stored, text_pieces, whole_texts
 
-HEAD, CORE = 512, 64
-KNOWN = 1 << 19
 DISCOUNT = 0.75
 HELD_OUT, OUT_OF = 1, 5
-FLUSH = 1 << 20
 #: Tokens of a chunk and of a bucket, about; and the least number of buckets.
-CHUNK, BUCKET, BUCKETS = 1 << 20, 1 << 19, 32
-
-WORDS = re.compile(rb"[^\x20\x09-\x0D]+")
+CHUNK, BUCKET, BUCKETS = 1 << 18, 1 << 19, 32
+#: The root, words, and pairs of words.
+ORDERS = (0, 1, 2)
 
 
 def signed_hash(word: bytes) -> int:
@@ -67,7 +68,7 @@ def token_hashes(text: str | None) -> list[int]:
 
 def parts(batch: pd.DataFrame, most: int = 1 << 22) -> Iterator[pd.DataFrame]:
     """A batch in slices of about ``most`` characters, so that hashing them takes bounded memory."""
-    size = batch["body"].str.len().cumsum() // most
+    size = batch["_qm_text"].str.len().cumsum() // most
     for _, rows in batch.groupby(size.to_numpy(), sort=False):
         yield rows
 
@@ -83,197 +84,6 @@ def held_out() -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % OUT_OF == HELD_OUT, F.lit(False))
 
 
-def count_words(texts: DataFrame) -> DataFrame:
-    """(word, count) of every token; tasks add up before they send."""
-
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: list[np.ndarray] = []
-        size = 0
-        for batch in (p for b in batches for p in parts(b)):
-            flat, _ = hashes(batch["body"])
-            held.append(flat)
-            size += len(flat)
-            if size > 4 * FLUSH:
-                words, counts = np.unique(np.concatenate(held), return_counts=True)
-                yield pd.DataFrame({"word": words, "count": counts})
-                held, size = [], 0
-        if held:
-            words, counts = np.unique(np.concatenate(held), return_counts=True)
-            yield pd.DataFrame({"word": words, "count": counts})
-
-    part = texts.mapInPandas(count, "word bigint, count bigint")
-    return part.groupBy("word").agg(F.sum("count").alias("count"))
-
-
-def count_ngrams(texts: DataFrame, head: np.ndarray) -> pd.DataFrame:
-    """(ngram, count), at most HEAD * (HEAD + 2) + CORE * CORE * (CORE + 1) rows.
-
-    ngram numbers: bigram a * (HEAD + 1) + b with b = HEAD for any other word, then
-    trigrams alike over the core. Tasks add up dense arrays of that fixed size.
-    """
-    order = np.argsort(head)
-    ranks = head[order]
-    two, three = HEAD * (HEAD + 1), CORE * CORE * (CORE + 1)
-
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(two + three, np.int64)
-        for batch in (p for b in batches for p in parts(b)):
-            flat, ends = hashes(batch["body"])
-            rank = rank_of(flat, ranks, order)
-            starts = np.zeros(len(flat), bool)
-            starts[0] = True
-            starts[ends[:-1]] = True
-            a, b = rank[:-1], rank[1:]
-            ok = ~starts[1:] & (a < HEAD)
-            total[:two] += np.bincount(a[ok] * (HEAD + 1) + b[ok], minlength=two)
-            a, b, c = rank[:-2], rank[1:-1], np.minimum(rank[2:], CORE)
-            ok = ~starts[1:-1] & ~starts[2:] & (a < CORE) & (b < CORE)
-            total[two:] += np.bincount((a[ok] * CORE + b[ok]) * (CORE + 1) + c[ok], minlength=three)
-        at = np.flatnonzero(total)
-        yield pd.DataFrame({"ngram": at, "count": total[at]})
-
-    part = texts.mapInPandas(count, "ngram bigint, count bigint")
-    return part.groupBy("ngram").agg(F.sum("count").alias("count")).toPandas()
-
-
-def rank_of(flat: np.ndarray, ordered: np.ndarray, order: np.ndarray) -> np.ndarray:
-    """Place of each hash in the head, HEAD for others."""
-    if not len(ordered):
-        return np.full(len(flat), HEAD)
-    at = np.minimum(np.searchsorted(ordered, flat), len(ordered) - 1)
-    return np.where(ordered[at] == flat, order[at], HEAD)
-
-
-class Automaton:
-    """States are contexts of no, one or two words; ``arcs[state][word]`` is (log10
-    weight, next state); ``fail[state]`` is (log10 weight, shorter state)."""
-
-    def __init__(self, unigram: np.ndarray, ngrams: pd.DataFrame):
-        """unigram: log10 base probability of each head word."""
-        n = len(unigram)
-        two, three = HEAD * (HEAD + 1), CORE * CORE * (CORE + 1)
-        counts = np.zeros(two + three, np.int64)
-        counts[ngrams["ngram"].to_numpy(np.int64)] = ngrams["count"].to_numpy(np.int64)
-        self.arcs: list[dict[int, tuple[float, int]]] = [{w: (float(unigram[w]), 1 + w) for w in range(n)}]
-        self.fail: list[tuple[float, int]] = [(0.0, 0)]
-        bi = counts[:two].reshape(HEAD, HEAD + 1)
-        for a in range(n):
-            row, total = bi[a, :HEAD], int(bi[a].sum())
-            self._state(row, total, 0, lambda b, a=a: 1 + b)
-        tri = counts[two:].reshape(CORE, CORE, CORE + 1)
-        ids = {}
-        for a in range(min(CORE, n)):
-            for b in range(min(CORE, n)):
-                if tri[a, b].sum() and b in self.arcs[1 + a]:
-                    ids[a, b] = len(self.arcs)
-                    self._state(tri[a, b, :CORE], int(tri[a, b].sum()), 1 + b, lambda c: 1 + c)
-        # An arc leads to the longest context that is a state.
-        for a in range(min(CORE, n)):
-            arcs = self.arcs[1 + a]
-            for b in list(arcs):
-                if (a, b) in ids:
-                    arcs[b] = (arcs[b][0], ids[a, b])
-        for (a, b), state in ids.items():
-            arcs = self.arcs[state]
-            for c in list(arcs):
-                if (b, c) in ids:
-                    arcs[c] = (arcs[c][0], ids[b, c])
-
-    def _state(self, row: np.ndarray, total: int, shorter: int, target) -> None:
-        seen = np.flatnonzero(row)
-        if not total:
-            self.arcs.append({})
-            self.fail.append((0.0, shorter))
-            return
-        share = 1.0 - float((row[seen] - DISCOUNT).sum()) / total
-        arcs = {}
-        for w in seen.tolist():
-            p = (row[w] - DISCOUNT) / total + share * 10 ** self.weight(shorter, w)[0]
-            arcs[w] = (float(np.log10(p)), target(w))
-        self.arcs.append(arcs)
-        self.fail.append((float(np.log10(share)) if share > 0 else -99.0, shorter))
-
-    def weight(self, state: int, word: int) -> tuple[float, int]:
-        total = 0.0
-        while word not in self.arcs[state]:
-            lost, state = self.fail[state]
-            total += lost
-        weight, state = self.arcs[state][word]
-        return total + weight, state
-
-    def traverse(self, ranks: list[int]) -> float:
-        """Log10 probability of the ranks, without the base of words outside the head."""
-        arcs, fail, state, total = self.arcs, self.fail, 0, 0.0
-        for word in ranks:
-            if word == HEAD:
-                while state:
-                    lost, state = fail[state]
-                    total += lost
-                continue
-            arc = arcs[state].get(word)
-            while arc is None:
-                lost, state = fail[state]
-                total += lost
-                arc = arcs[state].get(word)
-            total += arc[0]
-            state = arc[1]
-        return total
-
-
-class Model:
-    """What is broadcast: the automaton and the counts of the most frequent words."""
-
-    def __init__(self, words: np.ndarray, counts: np.ndarray, tokens: int, types: int):
-        self.tokens, self.types = tokens, types
-        order = np.argsort(words)
-        self.words, self.counts = words[order], counts[order]
-        most = np.lexsort((words, -counts))
-        head = [h for h in words[most].tolist() if h != END][: HEAD - 1]
-        self.head = np.array([*head, END] if tokens else [], dtype=np.int64)
-        self.head_order = np.argsort(self.head)
-        self.head_sorted = self.head[self.head_order]
-        self.automaton: Automaton | None = None
-
-    def log_base(self, counts: np.ndarray) -> np.ndarray:
-        return np.log10((counts + 0.5) / (self.tokens + 0.5 * (self.types + 1)))
-
-    def known(self, flat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Count of each token, and whether it is among the known."""
-        if not len(self.words):
-            return np.zeros(len(flat), np.int64), np.zeros(len(flat), bool)
-        at = np.minimum(np.searchsorted(self.words, flat), len(self.words) - 1)
-        hit = self.words[at] == flat
-        return np.where(hit, self.counts[at], 0), hit
-
-    def finish(self, ngrams: pd.DataFrame) -> Model:
-        self.automaton = Automaton(self.log_base(self.known(self.head)[0]), ngrams)
-        return self
-
-
-def frequent_from(counts: DataFrame, known: int) -> int:
-    """The least count that at most ``known`` words reach: from a histogram by sixteenths of
-    a power of two, of a few hundred rows, so that no task or driver sorts all words."""
-    size = F.floor(F.log2("count") * 16)
-    steps = counts.groupBy(size.alias("step")).agg(F.count("*").alias("n"), F.min("count").alias("low")).orderBy(F.desc("step")).collect()
-    total, least = 0, 1 << 62
-    for r in steps:
-        total += r["n"]
-        if total > known:
-            break
-        least = r["low"]
-    return least
-
-
-def train(docs: DataFrame, known: int = KNOWN) -> tuple[Model, DataFrame]:
-    """The model and the stored counts of all words."""
-    texts = docs.where(~held_out()).select(text_or_empty().alias("body"))
-    counts = stored(count_words(texts), "word-counts")
-    total = counts.agg(F.sum("count").alias("n"), F.count("*").alias("v")).first()
-    top = counts.where(F.col("count") >= frequent_from(counts, known)).union(counts.where(F.col("word") == END)).distinct().toPandas()
-    model = Model(top["word"].to_numpy(np.int64), top["count"].to_numpy(np.int64), int(total["n"] or 0), int(total["v"]))
-    return model.finish(count_ngrams(texts, model.head)), counts
-
-
 def packed(values: np.ndarray, small: bool = True) -> bytes:
     """Whole numbers from 0 as planes of bytes, as many as the largest needs; deflated if ``small``."""
     width = max(1, (int(values.max(initial=0)).bit_length() + 7) // 8)
@@ -310,8 +120,8 @@ def make_chunks(docs: DataFrame) -> DataFrame:
             row = {"chunk": first + number, "doc_id": ids, "held_out": held, "size": sizes, "words": words[order].tobytes(), "codes": packed(rank[codes])}
             return pd.DataFrame({**{k: [v] for k, v in row.items()}, "tokens": [size]})
 
-        for batch in (p for b in batches for p in parts(b)):
-            flat, ends = hashes(batch["body"])
+        for batch in (p for b in whole_texts(batches) for p in parts(b)):
+            flat, ends = hashes(batch["_qm_text"])
             ids += [None if pd.isna(d) else int(d) for d in batch["doc_id"]]
             held += batch["held_out"].tolist()
             sizes += np.diff(ends, prepend=0).tolist()
@@ -324,11 +134,19 @@ def make_chunks(docs: DataFrame) -> DataFrame:
         if flats:
             yield chunk()
 
-    rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), held_out().alias("held_out"), text_or_empty().alias("body"))
+    rows = text_pieces(docs.select(F.col("doc_id").cast("string").alias("doc_id"), held_out().alias("held_out"), "text"))
     kinds = "chunk bigint, doc_id array<bigint>, held_out array<boolean>, size array<bigint>, words binary, codes binary, tokens bigint"
     return stored(rows.mapInPandas(chunks, kinds), "lm-chunks")
 
 
+def bucket_cuts(keys: np.ndarray, bits: int, buckets: int) -> tuple[list[int], list[int]]:
+    """Where the keys of each bucket that has any begin among sorted keys (and their end), and
+    the buckets; they divide the keys' range evenly."""
+    of = ((keys >> np.uint64(bits - 32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+    cut = np.flatnonzero(np.diff(of, prepend=-1))
+    return [*cut.tolist(), len(keys)], of[cut].tolist()
+
+
 class Chunk:
     """A chunk's words, its pairs of words, and what follows the pairs (0 after the end)."""
 
@@ -351,20 +169,15 @@ class Chunk:
         self.follow, self.of = keys & np.uint64(0xFFFFFFFF), (keys >> np.uint64(32)).astype(np.int64)
         self.triple_count = np.bincount(self.triple, learned[self.second], len(keys)).astype(np.int64)
 
-    def cuts(self, keys: np.ndarray, bits: int, buckets: int) -> np.ndarray:
-        """Where each bucket begins among sorted keys; buckets divide the keys' range evenly."""
-        return np.searchsorted(keys, np.array([(b << bits) // buckets for b in range(buckets)], np.uint64)).tolist() + [len(keys)]
-
     def send_triples(self, chunk: int, buckets: int) -> pd.DataFrame:
-        cut = self.cuts(self.pairs, 56, buckets)
+        cut, names = bucket_cuts(self.pairs, 56, buckets)
         inner = np.searchsorted(self.of, cut).tolist()
         each = np.bincount(self.of, minlength=len(self.pairs))
         rows = []
-        for b in range(buckets):
-            p, t = slice(cut[b], cut[b + 1]), slice(inner[b], inner[b + 1])
-            if p.start < p.stop:
-                step = np.diff(self.pairs[p], prepend=np.uint64(0))
-                rows.append((chunk, b, packed(step, False), packed(each[p]), packed(self.follow[t], False), packed(self.triple_count[t])))
+        for k, b in enumerate(names):
+            p, t = slice(cut[k], cut[k + 1]), slice(inner[k], inner[k + 1])
+            step = np.diff(self.pairs[p], prepend=np.uint64(0))
+            rows.append((chunk, b, packed(step, False), packed(each[p]), packed(self.follow[t], False), packed(self.triple_count[t])))
         return pd.DataFrame(rows, columns=["chunk", "bucket", "keys", "each", "follow", "count"])
 
     def read_triples(self, rows: pd.DataFrame) -> None:
@@ -383,12 +196,11 @@ class Chunk:
         where[self.pair] = self.codes[self.second - 1]
         types = np.bincount(where, self.owned, len(self.words)).astype(np.int64)
         order, words = self.sorted_words()
-        cut, rows = self.cuts(words, 64, buckets), []
-        for b in range(buckets):
-            p = slice(cut[b], cut[b + 1])
-            if p.start < p.stop:
-                step = np.diff(words[p], prepend=np.uint64(0))
-                rows.append((chunk, b, packed(step, False), packed(count[order[p]]), packed(types[order[p]])))
+        (cut, names), rows = bucket_cuts(words, 64, buckets), []
+        for k, b in enumerate(names):
+            p = slice(cut[k], cut[k + 1])
+            step = np.diff(words[p], prepend=np.uint64(0))
+            rows.append((chunk, b, packed(step, False), packed(count[order[p]]), packed(types[order[p]])))
         return pd.DataFrame(rows, columns=["chunk", "bucket", "keys", "count", "types"])
 
     def scores(self, rows: pd.DataFrame, n: int, v: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -398,21 +210,63 @@ class Chunk:
         c1, t2 = np.zeros(len(order), np.int64), np.zeros(len(order), np.int64)
         for into, name in ((c1, "count"), (t2, "types")):
             into[order] = np.concatenate([unpacked(x) for x in rows[name]]).astype(np.int64)
-        one = ((c1 + 0.5) / (n + 0.5 * (v + 1)))[self.codes]
-        before = self.codes[self.second - 1]
-        c2, b = self.c2[self.pair], np.maximum(c1[before], 1)
-        two = np.where(c1[before] > 0, (np.maximum(c2 - DISCOUNT, 0) + DISCOUNT * t2[before] * one[self.second]) / b, one[self.second])
-        full = one.copy()
-        full[self.second] = two
-        # A pair with a word after it is that word's context.
-        at = np.flatnonzero(~self.last)
-        third, pair = self.second[at] + 1, self.pair[at]
-        c = self.c2[pair]
-        three = (np.maximum(self.c3[self.triple[at]] - DISCOUNT, 0) + DISCOUNT * self.t3[pair] * full[third]) / np.maximum(c, 1)
-        full[third] = np.where(c > 0, three, full[third])
+        machine = Automaton(self, c1, t2, n, v)
         starts = np.cumsum(self.size) - self.size
         add = lambda x: np.add.reduceat(x, starts)
-        return add((c1[self.codes] > 0).astype(np.int64)), add(np.log10(one)), add(np.log10(full))
+        return add((c1[self.codes] > 0).astype(np.int64)), add(machine.arcs[0]), add(machine.traverse())
+
+
+class Automaton:
+    """What a chunk's documents reach of the automaton, laid out along their tokens.
+
+    Before a token stand up to three states that its text could be in: the root, the word
+    before it, the two words before it. ``arcs[k]`` is the weight of the token's arc from the
+    state of order k (NaN: it has none), ``fail[k]`` that of this state's failure arc, and
+    ``target`` the order of the state that an arc of the token leads to.
+    """
+
+    def __init__(self, chunk: Chunk, c1: np.ndarray, t2: np.ndarray, n: int, v: int):
+        size, second = len(chunk.codes), chunk.second
+        base = ((c1 + 0.5) / (n + 0.5 * (v + 1)))[chunk.codes]
+        none = lambda: np.full(size, np.nan)
+        self.arcs, self.fail, p = [np.log10(base), none(), none()], [np.zeros(size), none(), none()], base.copy()
+        # From a word; the state is there if the word was learned.
+        before = chunk.codes[second - 1]
+        c, whole, more = chunk.c2[chunk.pair], c1[before], DISCOUNT * t2[before]
+        self._state(1, second[whole > 0], c[whole > 0], whole[whole > 0], more[whole > 0], p)
+        # From two words; a pair with a word after it is that word's context.
+        at = np.flatnonzero(~chunk.last)
+        third, pair = second[at] + 1, chunk.pair[at]
+        c, whole, more = chunk.c3[chunk.triple[at]], chunk.c2[pair], DISCOUNT * chunk.t3[pair]
+        self._state(2, third[whole > 0], c[whole > 0], whole[whole > 0], more[whole > 0], p)
+        self.target = (c1[chunk.codes] > 0).astype(np.int8)
+        self.target[second[chunk.c2[chunk.pair] > 0]] = 2
+        self.starts = np.cumsum(chunk.size) - chunk.size
+
+    def _state(self, k: int, at: np.ndarray, count: np.ndarray, whole: np.ndarray, more: np.ndarray, p: np.ndarray) -> None:
+        """Arcs and failure arcs of the states of order k at tokens ``at``; p: the tokens'
+        probabilities from the states below, which become those from these states."""
+        share = more / whole
+        p[at] = np.maximum(count - DISCOUNT, 0) / whole + share * p[at]
+        self.fail[k][at] = np.log10(share)
+        self.arcs[k][at] = np.where(count > 0, np.log10(p[at]), np.nan)
+
+    def traverse(self) -> np.ndarray:
+        """Each token's weight. The state carried to a token is the target of the arc that the
+        token before it took, and a target doesn't depend on which of a token's arcs that was;
+        so the texts are read side by side, and only failure arcs are followed in turn."""
+        state = np.empty(len(self.target), np.int8)
+        state[1:] = self.target[:-1]
+        state[self.starts] = 0
+        total = np.zeros(len(state))
+        for k in reversed(ORDERS):
+            here = state == k
+            arc = here & ~np.isnan(self.arcs[k])
+            total[arc] += self.arcs[k][arc]
+            fails = here & ~arc
+            total[fails] += self.fail[k][fails]
+            state[fails] = k - 1
+        return total
 
 
 def keys_of(blobs) -> list[np.ndarray]:
@@ -457,9 +311,9 @@ def bucket_words(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["chunk", "bucket", "count", "types", "n", "v"])
 
 
-def score(docs: DataFrame, known: int = KNOWN) -> DataFrame:
+def score(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, n_tokens, n_known, train_tokens,
-    base_score, score. ``known`` has no effect on the results: no counts are broadcast."""
+    base_score, score."""
     chunks = make_chunks(docs)
     tokens = chunks.agg(F.sum("tokens").alias("n")).first()["n"] or 0
     buckets = max(BUCKETS, tokens // BUCKET)

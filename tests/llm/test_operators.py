@@ -204,7 +204,7 @@ def test_components_contracted_and_by_stars_agree(spark, monkeypatch):
     rng = np.random.default_rng(3)
     edges = [(0, k) for k in range(1, 400)] + [(k, k + 1) for k in range(1000, 1100)] + [(5000, 5000)] + rng.integers(2000, 2600, (400, 2)).tolist()
     df = spark.createDataFrame([(int(a), int(b)) for a, b in edges], "src bigint, dst bigint")
-    want = components({n for a, b in edges for n in (a, b) if a != b}, edges)
+    want = components({n for a, b in edges for n in (a, b) if a != b}, [(a, b) for a, b in edges if a != b])
     for chunk, native in ((1 << 19, False), (100, False), (1 << 19, True)):
         monkeypatch.setattr(common, "CHUNK_EDGES", chunk)
         got = common.connected_components(df, native=native).collect()
@@ -287,13 +287,12 @@ def test_trigram_queries_hold_for_matches(docs):
 # Language model ------------------------------------------------------------------------
 
 
-@pytest.mark.parametrize("known", [language_model.KNOWN, 50])
-def test_language_model(docs, known):
+def test_language_model(docs):
     tokens = {d: [*WORDS.findall(low(t)), None] for d, t in texts(docs)}
     held = {d: zlib.crc32(str(d).encode()) % 5 == 1 for d in tokens}
     count = Counter(w for d, ws in tokens.items() if not held[d] for w in ws)
     n, v = sum(count.values()), len(count)
-    got = rows(language_model.score(docs, known))
+    got = rows(language_model.score(docs))
     assert len(got) == len(tokens)
     for r in got:
         ws = tokens[r["doc_id"]]
@@ -305,23 +304,6 @@ def test_language_model(docs, known):
     assert gain > 0
 
 
-def test_automaton_sums_to_one(docs):
-    model, counts = language_model.train(docs)
-    everything = counts.toPandas()
-    auto = model.automaton
-    head = {int(h): i for i, h in enumerate(model.head)}
-    base = {int(w): 10 ** float(model.log_base(np.array(c))) for w, c in zip(everything["word"], everything["count"])}
-    unseen = 10 ** float(model.log_base(np.array(0)))
-    for state in (0, 1, 7, 40, len(auto.arcs) - 1):
-        total = sum(10 ** auto.weight(state, i)[0] for i in range(len(head)))
-        lost, s = 0.0, state
-        while s:
-            step, s = auto.fail[s]
-            lost += step
-        total += 10**lost * (sum(p for w, p in base.items() if w not in head) + unseen)
-        assert math.isclose(total, 1.0, rel_tol=1e-6)
-
-
 def test_language_model_counts_all_ngrams(spark, monkeypatch):
     """Scores of a model of all bigrams and trigrams, over words beyond any fixed head, in several chunks."""
     monkeypatch.setattr(language_model, "CHUNK", 500)
@@ -357,6 +339,10 @@ def test_language_model_counts_all_ngrams(spark, monkeypatch):
     assert len(got) == len(want)
     for r in got:
         assert math.isclose(r["score"], want[r["doc_id"]], rel_tol=1e-9)
+    unseen = 0.5 / (n + 0.5 * (v + 1))
+    for h in (("w7",), ("w7", "w7"), *list(types[2])[:5]):
+        lost = math.prod(0.75 * types[len(h) - k][h[k:]] / c[len(h) - k - 1][h[k:]] for k in range(len(h)))
+        assert math.isclose(math.fsum(p((*h, *w)) for w in c[0]) + lost * unseen, 1)
 
 
 # URLs ------------------------------------------------------------------------------------
