@@ -7,6 +7,10 @@ distribution with that rate turns into a number of copies. Copies are exploded a
 dealt out by a hash of seed, doc_id and copy: a global shuffle that costs one exchange
 and gives the same order again after a lost executor.
 
+A rate above ``RATE_A_DRAW`` is dealt out evenly to several draws with hashes of their own,
+whose sum has the Poisson distribution of the whole rate: so a distribution has about a
+hundred steps at most, whatever the rate.
+
 Rates are known for the sources of the configuration and for the rest taken together,
 so that what the driver holds is bounded by the configuration, not by the data.
 
@@ -28,6 +32,7 @@ SEED = "quadmill-mix-1"
 #: Target shares of the mixture; sources that aren't listed share what is left.
 WEIGHTS = {"src0": 0.15, "src1": 0.08, "src2": 0.08, "src3": 0.02}
 REST = ""
+RATE_A_DRAW = 32.0
 
 
 def uniform(seed: str, *parts: Column) -> Column:
@@ -46,6 +51,10 @@ def distribution(rate: float) -> list[float]:
     return out
 
 
+def draws_of(rate: float) -> int:
+    return max(1, math.ceil(rate / RATE_A_DRAW))
+
+
 def group_of(weights: dict[str, float]) -> Column:
     listed = F.col("source").isin(*weights) if weights else F.lit(False)
     return F.when(listed, F.col("source")).otherwise(F.lit(REST))
@@ -68,9 +77,15 @@ def draw(docs: DataFrame, weights: dict[str, float] | None = None, seed: str = S
     copies, mean = F.lit(0).cast("int"), F.lit(0.0)
     for g, r in rate.items():
         # The inverse: copies is the number of k whose P(copies <= k) is at most the draw.
-        steps = F.array(*[F.lit(x) for x in distribution(r)]) if r > 0 else F.array().cast("array<double>")
+        draws = draws_of(r)
+        steps = F.array(*[F.lit(x) for x in distribution(r / draws)]) if r > 0 else F.array().cast("array<double>")
+        one = lambda u, steps=steps: F.size(F.filter(steps, lambda x: x <= u))
+        number = one(F.col("_qm_u"))
+        if draws > 1:
+            more = F.sequence(F.lit(1), F.lit(draws - 1))
+            number = F.aggregate(more, number, lambda n, j: n + one(uniform(seed, F.col("doc_id"), j)))
         here = group_of(weights) == F.lit(g)
-        copies = F.when(here, F.size(F.filter(steps, lambda x: x <= F.col("_qm_u")))).otherwise(copies)
+        copies = F.when(here, number).otherwise(copies)
         mean = F.when(here, F.lit(r)).otherwise(mean)
     return docs.withColumn("_qm_u", u).withColumn("_qm_copies", copies).withColumn("_qm_rate", mean).drop("_qm_u")
 
@@ -108,14 +123,16 @@ def report_sql(weights: dict[str, float] | None = None, seed: str = SEED) -> str
     rest = max(0.0, 1.0 - math.fsum(weights.values()))
     part = lambda x: f"coalesce(cast({x} as varchar), 'null')"
     unit = lambda s, *p: f"cast(('0x' || substr(md5(concat_ws(':', '{s}', {', '.join(map(part, p))})), 1, 13)) as bigint) / {float(1 << 52)!r}"
+    below = lambda u: f"len(list_filter(cdf, lambda x: x <= least({u}, 0.9999999999999)))"
     return f"""
 with w(s, share) as (values {listed}),
 d as (select doc_id, source, length(coalesce(text, '')) as n, coalesce(w.s, '{REST}') as g, coalesce(w.share, {rest!r}) as share
       from documents left join w on w.s = source),
-r as (select g, any_value(share) * (select sum(n) from d) / sum(n) as rate from d group by g having sum(n) > 0),
-p as (select g, rate, list_transform(range(0, cast(rate + 40 * sqrt(rate) + 60 as bigint)), lambda k:
-        list_sum(list_transform(range(0, k + 1), lambda j: exp(j * ln(rate) - rate - lgamma(j + 1))))) as cdf from r),
-c as (select doc_id, source, rate, cast(len(list_filter(cdf, lambda x: x <= least({unit(seed, 'doc_id')}, 0.9999999999999))) as integer) as k
+r as (select g, case when sum(n) > 0 then any_value(share) * (select sum(n) from d) / sum(n) else 1.0 end as rate from d group by g),
+m as (select g, rate, greatest(1, cast(ceil(rate / {RATE_A_DRAW!r}) as bigint)) as draws, rate / greatest(1, ceil(rate / {RATE_A_DRAW!r})) as a from r),
+p as (select g, rate, draws, list_transform(range(0, cast(a + 40 * sqrt(a) + 60 as bigint)), lambda k:
+        list_sum(list_transform(range(0, k + 1), lambda j: exp(j * ln(a) - a - lgamma(j + 1))))) as cdf from m where rate > 0),
+c as (select doc_id, source, rate, cast({below(unit(seed, 'doc_id'))} + coalesce(list_sum(list_transform(range(1, draws), lambda i: {below(unit(seed, 'doc_id', 'i'))})), 0) as integer) as k
       from d join p using (g))
 select doc_id, source, round(rate, 6) as rate, k as n_copies, cast(i as integer) as copy, {unit(seed + ':order', 'doc_id', 'i')} as order_key
 from c, unnest(range(0, k)) as t(i)"""

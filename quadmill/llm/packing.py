@@ -2,14 +2,17 @@
 
 A document's tokens are cut into pieces (only if it is too long). A sequence has three
 capacities: tokens, documents and attention cost (the sum of squared piece lengths).
-A piece's demand depends on its length alone, so the corpus is summed up exactly by
+By default the token capacity alone can bind: a sequence of 1024 tokens has at most 1024
+pieces, and their squares add up to 1024 * 1024 at most. The other two bind where a caller
+sets them lower, at the cost of more sequences. A piece's demand depends on its length alone, so the corpus is summed up exactly by
 the number of pieces of each length. The driver packs these classes, longest first:
 each goes to the open sequences that have room under every capacity and the smallest
 weighted norm of what would be left (or the largest weighted dot product of demand
 and room). Sequences in the same state are handled as one, so planning costs the
 square of the token capacity at most, whatever the number of documents, and it loses
 nothing at partition borders. Pieces then take their places by their rank within
-their length, which two counts by length and rank bucket make global.
+their length, which counts by length and rank bucket make global. The number of buckets follows
+that of the pieces, so that pieces of one length are ranked in tasks of bounded size.
 
 Edge cases: null text is empty and has one piece, the end id alone; very long texts
 have many pieces; repeated rows are packed as often as they come; an empty table gives
@@ -28,10 +31,11 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored, text_or_empty
+from .common import stored, text_pieces, whole_texts
 
 END_ID = 2
-RANK_BUCKETS = 256
+#: Least number of rank buckets, and pieces to which there is one more.
+RANK_BUCKETS, BUCKET_PIECES = 256, 1 << 18
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
 
@@ -114,7 +118,7 @@ def pieces(docs: DataFrame, files: TokenizerFiles, most: int, with_ids: bool = F
 
     def tokenise(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encode = encoder(files)
-        for batch in batches:
+        for batch in whole_texts(batches):
             rows = []
             for doc_id, text in zip(batch["doc_id"], batch["_qm_text"]):
                 ids = np.array([*encode(text), END_ID], dtype="<u4")
@@ -123,10 +127,11 @@ def pieces(docs: DataFrame, files: TokenizerFiles, most: int, with_ids: bool = F
                     row = (doc_id, k, at, n, zlib.crc32(part.tobytes()))
                     rows.append((*row, part.astype(np.int32)) if with_ids else row)
             names = ["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids
-            yield pd.DataFrame(rows, columns=names).astype({"doc_id": "Int64"})
+            yield pd.DataFrame(rows, columns=names)
 
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_or_empty().alias("_qm_text"))
-    return texts.mapInPandas(tokenise, PIECES + ", ids array<int>" * with_ids)
+    texts = text_pieces(docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text"))
+    cut = texts.mapInPandas(tokenise, PIECES.replace("doc_id bigint", "doc_id string") + ", ids array<int>" * with_ids)
+    return cut.withColumn("doc_id", F.col("doc_id").cast("bigint"))
 
 
 def plan(counts: dict[int, int], cap: Capacities) -> tuple[np.ndarray, int]:
@@ -200,32 +205,30 @@ def plan(counts: dict[int, int], cap: Capacities) -> tuple[np.ndarray, int]:
 def placed(cut: DataFrame, cap: Capacities) -> DataFrame:
     """``cut`` (stored pieces) with sequence_id and offset."""
     whole = (F.col("length") == cap.tokens) & F.lit(cap.attention >= cap.tokens**2)
-    bucket = F.pmod(F.xxhash64("doc_id", "piece"), F.lit(RANK_BUCKETS)).cast("int")
+    buckets = max(RANK_BUCKETS, cut.count() // BUCKET_PIECES)
+    bucket = F.pmod(F.xxhash64("doc_id", "piece"), F.lit(buckets))
     part = cut.where(~whole).withColumn("_qm_bucket", bucket)
-    # At most tokens * RANK_BUCKETS rows, whatever the input.
-    sums = part.groupBy("length", "_qm_bucket").count().toPandas().sort_values(["length", "_qm_bucket"])
-    before = sums.groupby("length")["count"].cumsum() - sums["count"]
-    base_key = sums["length"].to_numpy(np.int64) * RANK_BUCKETS + sums["_qm_bucket"].to_numpy(np.int64)
-    base = before.to_numpy(np.int64)
-    totals = {int(k): int(v) for k, v in sums.groupby("length")["count"].sum().items()}
+    sums = stored(part.groupBy("length", "_qm_bucket").agg(F.count("*").alias("_qm_n")), "rank-buckets")
+    # At most a row for each length, whatever the input.
+    totals = {r["length"]: r["n"] for r in sums.groupBy("length").agg(F.sum("_qm_n").alias("n")).collect()}
     places, opened = plan(totals, cap)
-    place_key = places[:, 0] << 40 | places[:, 1]
+    order = np.argsort(places[:, 0] << 40 | places[:, 1], kind="stable")
+    places, order_key = places[order], (places[:, 0] << 40 | places[:, 1])[order]
     columns = [f.name for f in cut.schema.fields]
 
     def seat(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             length = batch["length"].to_numpy(np.int64)
-            at = np.searchsorted(base_key, length * RANK_BUCKETS + batch["_qm_bucket"].to_numpy(np.int64))
-            rank = base[at] + batch["_qm_rank"].to_numpy(np.int64) - 1
+            rank = (batch["_qm_base"] + batch["_qm_rank"]).to_numpy(np.int64) - 1
             row = places[np.searchsorted(order_key, length << 40 | rank, side="right") - 1] if len(places) else places
             place, inside = np.divmod(rank - row[:, 1], row[:, 2])
             yield batch[columns].assign(sequence_id=row[:, 3] + place, offset=row[:, 4] + inside * length)
 
-    order = np.argsort(place_key, kind="stable")
-    places, order_key = places[order], place_key[order]
+    before = Window.partitionBy("length").orderBy("_qm_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    base = sums.select("length", "_qm_bucket", F.coalesce(F.sum("_qm_n").over(before), F.lit(0)).alias("_qm_base"))
     ranked = part.withColumn(
         "_qm_rank", F.row_number().over(Window.partitionBy("length", "_qm_bucket").orderBy("doc_id", "piece", "ids_crc32"))
-    )
+    ).join(base, ["length", "_qm_bucket"]).select(*columns, "_qm_rank", "_qm_base")
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cut.schema.fields)
     seated = ranked.mapInPandas(seat, f"{kinds}, sequence_id bigint, offset bigint")
     alone = cut.where(whole).select(

@@ -10,6 +10,7 @@ smallest hashes of their doc_id; every document is scored whole.
 
 Edge cases: null text is empty, and an empty text gets the score of the bias alone;
 null labels are not learned from; several labels of a document count by the smallest;
+of several texts with one doc_id that with the smallest features is learned from;
 without labels of both classes every score is the smoothed share of label 1; repeated
 rows get equal scores; other columns are never inputs.
 """
@@ -23,11 +24,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_or_empty
+from .common import BATCH_ROWS, text_or_empty, text_pieces, whole_texts
 
 BITS = 18
 ORDERS = (1, 2, 3, 4)
-MAX_TRAIN = 6000
+MAX_TRAIN = 8000
 HELD_OUT_OF = 5
 KEEP_FROM = 0.3
 CHUNK = 1 << 20
@@ -142,16 +143,17 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Mod
     texts = docs.select("doc_id", text_or_empty().alias("body")).join(F.broadcast(learn), "doc_id")
 
     def features(batches):
-        for batch in batches:
-            found = [ngrams(t).tobytes() for t in batch["body"]]
+        for batch in whole_texts(batches):
+            found = [ngrams(t).tobytes() for t in batch["_qm_text"]]
             yield pd.DataFrame({"doc_id": batch["doc_id"], "label": batch["label"].astype("int32"), "features": found})
 
-    sample = texts.mapInPandas(features, "doc_id bigint, label int, features binary").toPandas()
-    sample = sample.drop_duplicates("doc_id").sort_values("doc_id")
+    sample = text_pieces(texts, "body").mapInPandas(features, "doc_id bigint, label int, features binary").toPandas()
+    sample = sample.sort_values(["doc_id", "features"]).drop_duplicates("doc_id")
     return fit([np.frombuffer(b, np.int32) for b in sample["features"]], sample["label"].to_numpy(int))
 
 
 def score_column(spark, model: Model) -> Column:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     shared = spark.sparkContext.broadcast(model)  # two arrays of 2**BITS floats, whatever the input
 
     @F.pandas_udf("double")

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_or_empty
+from .common import text_pieces, whole_texts
 
 WINDOW = 8
 LEAST_WORDS = 20
@@ -135,16 +135,16 @@ SHARES = tuple(f"cover_{k}" for k in (*TOP_COVERAGE, *ALL_COVERAGE)) + ("dup_lin
 def assess(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: doc_id, counts, base_failed, kept, coverages."""
     names = ["doc_id", *COUNTS, "base_failed", "kept", *SHARES]
-    kinds = ["bigint"] + ["bigint"] * len(COUNTS) + ["boolean"] * 2 + ["double"] * len(SHARES)
+    kinds = ["string"] + ["bigint"] * len(COUNTS) + ["boolean"] * 2 + ["double"] * len(SHARES)
 
     def judged(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in whole_texts(batches):
             rows = []
             for doc_id, text in zip(batch["doc_id"], batch["_qm_text"]):
                 m = measure(text)
                 bad = fails_base(m)
                 rows.append((doc_id, *[m[k] for k in COUNTS], bad, not bad and passes(m), *[m[k] for k in SHARES]))
-            yield pd.DataFrame(rows, columns=names).astype({"doc_id": "Int64"})
+            yield pd.DataFrame(rows, columns=names)
 
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_or_empty().alias("_qm_text"))
-    return texts.mapInPandas(judged, ", ".join(f"{n} {k}" for n, k in zip(names, kinds)))
+    texts = text_pieces(docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text"))
+    return texts.mapInPandas(judged, ", ".join(f"{n} {k}" for n, k in zip(names, kinds))).withColumn("doc_id", F.col("doc_id").cast("bigint"))

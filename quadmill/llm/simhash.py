@@ -46,16 +46,14 @@ CELL_ROWS = 32
 #: Fingerprints up to which so many bands do.
 BANDS = ((1 << 21, 3), (1 << 31, 4), (1 << 62, 5))
 CHUNK = 1 << 15
-#: Of the filter: words of a shingle, similarity that links, hashes of a sketch, mean and
-#: least words of a segment.
+#: Of the filter: words of a shingle, similarity that links, hashes of a sketch.
 NEAR_WORDS, SIMILARITY = 5, 0.8
-SKETCH = 256
-SEGMENT_WORDS, SEGMENT_LEAST = 16, 8
+SKETCH = 64
 #: How far below the similarity a sketch's estimate discards a pair (six standard errors); of the
 #: order of shingles: one in so many texts is counted, and so many shingles are kept.
-SLACK, SAMPLE, COMMON = 0.15, 64, 1 << 17
-#: Texts of a segment with which each of its texts is compared.
-LEADERS = 8
+SLACK, SAMPLE, COMMON = 0.3, 64, 1 << 17
+#: Texts of a shingle with which each of its texts is compared first.
+LEADERS = 2
 
 WORDS = re.compile(rb"[^\x20\x09-\x0D]+")
 
@@ -179,14 +177,19 @@ def similar_dedup(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     LINK_BITS (found by the pivot tables), or if their similarity, the resemblance of
     their sets of 64-bit shingle hashes, is ``similarity`` or more.
 
-    Links of the second kind are found in two steps. Texts that share a content-defined
-    segment are compared with LEADERS texts of it: a cheap pass that joins most large
-    classes, and decides nothing else. Then texts that share a shingle of their prefixes
-    are compared if they are of different classes yet and their sizes allow the similarity.
-    A prefix is the first n - ceil(similarity * n) + 1 of a text's n shingles in one order
-    of all shingles, so that each similar pair shares one: no pair is lost. The order puts
-    shingles that are frequent in a sample last; exactness doesn't depend on the sample.
-    Sketches discard pairs that are below by SLACK or more; others are verified on the whole sets.
+    Links of the second kind are between texts that share a shingle of their prefixes and
+    whose sizes allow the similarity. A prefix is the first n - ceil(similarity * n) + 1 of a
+    text's n shingles in one order of all shingles, so that each similar pair shares one: no
+    pair is lost. The order puts shingles that are frequent in a sample last; exactness
+    doesn't depend on the sample. By the same order, all that two texts have in common beyond
+    their prefixes' common shingles is in what follows the prefix of one of them, so that
+    pairs with too few common ones are discarded. Each text is compared with LEADERS texts of each shingle
+    first, which joins most of a large class at small cost and decides nothing else; then all
+    texts of a shingle that are of different classes yet are compared. Sketches discard pairs
+    that are below by SLACK or more; all others are verified on the whole sets.
+
+    Edge cases: null text is empty; empty texts are copies of each other; of rows that repeat
+    doc_id and text one stays; an empty table gives an empty result; all columns are kept.
     """
     key = F.xxhash64("doc_id", text_or_empty())
     texts = docs.select(key.alias("node"), F.col("doc_id").cast("bigint").alias("doc_id"), text_or_empty().alias("body"))
@@ -195,22 +198,23 @@ def similar_dedup(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     def measured(batches):
         for batch in whole_texts(batches):
             found = [measure(t, similarity, shared.value) for t in batch["_qm_text"]]
-            out = pd.DataFrame(found, columns=["fp", "segments", "sketch", "prefix", "n"])
+            out = pd.DataFrame(found, columns=["fp", "sketch", "prefix", "n"])
             yield out.assign(node=batch["node"].to_numpy(), doc_id=batch["doc_id"].to_numpy(dtype=object))
 
     pieces = text_pieces(texts.withColumn("doc_id", F.col("doc_id").cast("string")), "body")
-    rows = pieces.mapInPandas(measured, "node bigint, doc_id string, fp bigint, segments array<bigint>, sketch array<int>, prefix array<bigint>, n bigint")
+    rows = pieces.mapInPandas(measured, "node bigint, doc_id string, fp bigint, sketch array<int>, prefix array<bigint>, n bigint")
     rows = rows.withColumn("doc_id", F.col("doc_id").cast("bigint"))
     # One row a key, so that the joins below have no aggregation beside them and their
     # skewed partitions can be split.
     rows = stored(rows.dropDuplicates(["node"]), "near-rows")
-    first = stored(rows.groupBy("fp").agg(F.min("node").alias("rep")), "near-fingerprints")
-    equal = rows.select("node", "fp").join(first, "fp").select(F.col("node").alias("src"), F.col("rep").alias("dst"))
-    close = links(first.select("fp"))
-    close = close.join(first.select(F.col("fp").alias("src"), F.col("rep").alias("a")), "src").join(first.select(F.col("fp").alias("dst"), F.col("rep").alias("b")), "dst")
-    edges = equal.union(close.select("a", "b")).union(similar_links(rows, texts, similarity)).where("src <> dst")
+    each = stored(rows.select("node", "n", F.explode("prefix").alias("shingle")), "near-prefixes")
+    # Fingerprints are nodes of the graph too, so that no text is joined with its own.
+    mark = lambda fp: F.xxhash64(F.lit("fp"), fp)
+    close = links(stored(rows.select("fp").distinct(), "near-fingerprints"))
+    edges = rows.select(F.col("node").alias("src"), mark(F.col("fp")).alias("dst")).union(close.select(mark(F.col("src")), mark(F.col("dst"))))
+    edges = edges.union(leader_links(rows, each, texts, similarity))
     before = stored(connected_components(edges, "near-links"), "near-before")
-    more = prefix_links(rows, texts, before, similarity)
+    more = prefix_links(rows, each, texts, before, similarity)
     edges = before.select(F.col("node").alias("src"), F.col("component").alias("dst")).union(more).where("src <> dst")
     classes = stored(connected_components(edges, "near-links"), "near-classes")
 
@@ -259,12 +263,12 @@ def prefix_of(shingles: np.ndarray, similarity: float, common: tuple[np.ndarray,
     return shingles[np.lexsort((shingles, rank))[:most]].view(np.int64)
 
 
-def measure(text: str, similarity: float, common: tuple[np.ndarray, np.ndarray]) -> tuple[int, list[int], np.ndarray, np.ndarray, int]:
-    """SimHash of five-word shingles, hashes of segments, the shingles' sketch, prefix and number."""
+def measure(text: str, similarity: float, common: tuple[np.ndarray, np.ndarray]) -> tuple[int, np.ndarray, np.ndarray, int]:
+    """SimHash of five-word shingles, their sketch, prefix and number."""
     words = WORDS.findall(text.encode("utf-8", "surrogatepass").lower())
     digest, n = xxhash.xxh64_intdigest, max(1, len(words) - NEAR_WORDS + 1)
     if not words:
-        return 0, [], np.zeros(0, np.int32), np.zeros(0, np.int64), 0
+        return 0, np.zeros(0, np.int32), np.zeros(0, np.int64), 0
     ones, sketch, every = np.zeros(64, np.int64), np.zeros(0, np.uint32), []
     for at in range(0, n, CHUNK):
         part = words[at : min(at + CHUNK, n) + NEAR_WORDS - 1]
@@ -273,49 +277,36 @@ def measure(text: str, similarity: float, common: tuple[np.ndarray, np.ndarray])
         ones += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
         every.append(np.unique(hashes.astype(np.uint64)))
         sketch = np.unique(np.concatenate([sketch, (hashes & 0xFFFFFFFF).astype(np.uint32)]))[:SKETCH]
-    ends = [i + 1 for i, w in enumerate(words) if digest(w) % SEGMENT_WORDS == 0]
-    segments, begin = set(), 0
-    for end in [*ends, len(words)]:
-        if end - begin >= SEGMENT_LEAST or end == len(words) and end > begin:
-            segments.add(signed(digest(b" ".join(words[begin:end]))))
-            begin = end
     value = int.from_bytes(np.packbits(ones * 2 > n).tobytes(), "big")
     whole = np.unique(np.concatenate(every))
-    return signed(value), sorted(segments), sketch.view(np.int32), prefix_of(whole, similarity, common), len(whole)
-
-
-def resemblance(a: np.ndarray, b: np.ndarray) -> float:
-    """Of two sketches: the share of the union's smallest hashes that both have."""
-    a, b = np.asarray(a, np.int32).view(np.uint32), np.asarray(b, np.int32).view(np.uint32)
-    both = np.union1d(a, b)
-    if max(len(a), len(b)) >= SKETCH:
-        both = both[:SKETCH]
-    if not len(both):
-        return 1.0
-    return float((np.isin(both, a) & np.isin(both, b)).mean())
-
-
-def similar_links(rows: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """Verified links (src, dst) of rows (node, segments, sketch) with the leaders of their segments."""
-    each = stored(rows.select("node", F.explode("segments").alias("segment")).distinct(), "near-segments")
-    shared = each.groupBy("segment").agg(F.count("*").alias("n"), *[F.min_by("node", F.xxhash64("node", F.lit(k))).alias(f"lead{k}") for k in range(LEADERS)])
-    met = each.join(stored(shared.where("n > 1"), "near-leaders"), "segment")  # stored: so that hot segments can be split
-    pairs = met.select("node", F.explode(F.array_distinct(F.array(*[f"lead{k}" for k in range(LEADERS)]))).alias("to")).where("node <> to")
-    pairs = stored(pairs.select(F.least("node", "to").alias("src"), F.greatest("node", "to").alias("dst")).distinct(), "near-pairs")
-    return verified(pairs, rows, texts, similarity)
-
-
-def prefix_links(rows: DataFrame, texts: DataFrame, before: DataFrame, similarity: float) -> DataFrame:
-    """Verified links (src, dst) of all rows (node, prefix, n, sketch) that are in different classes of ``before``."""
-    own = rows.select("node", "prefix", "n").join(before, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    each = stored(own.select("node", "component", "n", F.explode("prefix").alias("shingle")), "near-prefixes")
-    shared = each.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("shingle")
-    met = stored(each.join(shared, "shingle"), "near-shared")
+    return signed(value), sketch.view(np.int32), prefix_of(whole, similarity, common), len(whole)
+
+
+def fitting(n: Column, other: Column, similarity: float) -> Column:
+    return (other >= n * similarity - 1e-9) & (n >= other * similarity - 1e-9)
+
+
+def leader_links(rows: DataFrame, each: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """Verified links (src, dst) of texts with the leaders of their shingles; ``each``: node, n, shingle."""
+    leaders = F.array_distinct(F.array(*[F.min_by(F.struct(F.col("node").alias("to"), F.col("n").alias("m")), F.xxhash64("node", F.lit(k))) for k in range(LEADERS)]))
+    shared = stored(each.groupBy("shingle").agg(F.count("*").alias("times"), leaders.alias("lead")).where("times > 1"), "near-leaders")
+    pairs = each.join(shared, "shingle").select("node", "n", F.inline("lead")).where(fitting(F.col("n"), F.col("m"), similarity) & (F.col("node") != F.col("to")))
+    pairs = pairs.select(F.least("node", "to").alias("src"), F.greatest("node", "to").alias("dst")).distinct()
+    return verified(stored(pairs, "near-pairs"), rows, texts, similarity)
+
+
+def prefix_links(rows: DataFrame, each: DataFrame, texts: DataFrame, before: DataFrame, similarity: float) -> DataFrame:
+    """Verified links (src, dst) of all texts that are in different classes of ``before`` and share a shingle of ``each``."""
+    own = stored(each.join(before, "node", "left").withColumn("component", F.coalesce("component", "node")), "near-own-prefixes")
+    shared = own.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("shingle")
+    met = stored(own.join(stored(shared, "near-apart"), "shingle"), "near-shared")
     other = met.select("shingle", F.col("node").alias("node2"), F.col("component").alias("component2"), F.col("n").alias("n2"))
-    fits = (F.col("n2") >= F.col("n") * similarity - 1e-9) & (F.col("n") >= F.col("n2") * similarity - 1e-9)
-    pairs = met.join(other, "shingle").where((F.col("component") < F.col("component2")) & fits)
-    pairs = stored(pairs.select(F.col("node").alias("src"), F.col("node2").alias("dst")).distinct(), "near-prefix-pairs")
-    return verified(pairs, rows, texts, similarity)
+    pairs = met.join(other, "shingle").where((F.col("component") < F.col("component2")) & fitting(F.col("n"), F.col("n2"), similarity))
+    pairs = pairs.groupBy(F.col("node").alias("src"), F.col("node2").alias("dst"), "n", "n2").agg(F.count("*").alias("common"))
+    after = lambda n: F.ceil(n * similarity - 1e-9) - 1  # noqa: E731  shingles behind the prefix of n
+    most = F.col("common") + F.greatest(after(F.col("n")), after(F.col("n2")))
+    pairs = pairs.where(most * (1 + similarity) >= (F.col("n") + F.col("n2")) * similarity - 1e-6)
+    return verified(stored(pairs.select("src", "dst"), "near-prefix-pairs"), rows, texts, similarity)
 
 
 def beside(pairs: DataFrame, table: DataFrame, column: str) -> DataFrame:
@@ -328,20 +319,21 @@ def beside(pairs: DataFrame, table: DataFrame, column: str) -> DataFrame:
 def verified(pairs: DataFrame, rows: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     """The pairs (src, dst) of ``similarity`` or more: sketches discard clear others, whole sets decide."""
 
-    @F.pandas_udf("boolean")
-    def likely(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([resemblance(x, y) >= similarity - SLACK for x, y in zip(a, b)], dtype="bool")
+    # What the sketches have in common is at least the union's smallest hashes that both texts have.
+    likely = F.size(F.array_intersect("a", "b")) >= F.greatest(F.size("a"), F.size("b")) * (similarity - SLACK)
 
     @F.pandas_udf("boolean")
     def alike(a: pd.Series, b: pd.Series) -> pd.Series:
+        sets = {}  # of this batch: a leader is in many of its pairs
+
         def similar(x, y):
-            x, y = shingle_set(x), shingle_set(y)
+            x, y = (sets[t] if t in sets else sets.setdefault(t, shingle_set(t)) for t in (x, y))
             both = len(np.intersect1d(x, y, assume_unique=True))
             return both >= similarity * (len(x) + len(y) - both) - 1e-9
 
         return pd.Series([similar(x, y) for x, y in zip(a, b)], dtype="bool")
 
-    left = stored(beside(pairs, rows, "sketch").where(likely("a", "b")).select("src", "dst"), "near-likely")
+    left = stored(beside(pairs, rows, "sketch").where(likely).select("src", "dst"), "near-likely")
     need = stored(left.select(F.col("src").alias("node")).union(left.select("dst")).distinct(), "near-needed")
     bodies = stored(texts.select("node", "body").join(need, "node", "left_semi").dropDuplicates(["node"]), "near-bodies")
     return stored(beside(left, bodies, "body").where(alike("a", "b")).select("src", "dst"), "near-alike")

@@ -87,8 +87,10 @@ def class_verdicts(links: DataFrame, rules=RULES) -> DataFrame:
     nodes = ends.select(F.xxhash64(address_of(F.col("url"))).alias("node"), say.alias("say"))
     nodes = nodes.groupBy("node").agg(F.max((F.col("say") == "block").cast("int")).alias("blocks"), F.max((F.col("say") == "allow").cast("int")).alias("allows"))
     pairs = links.select(F.xxhash64(address_of(F.col("src"))).alias("src"), F.xxhash64(address_of(F.col("dst"))).alias("dst"))
-    named = nodes.join(connected_components(pairs, "url-links"), "node")
+    named = stored(nodes, "url-nodes").join(connected_components(pairs, "url-links", native=True), "node")
+    named = stored(named, "url-named")  # as below, so that a hot class is split where it is joined
     whole = named.groupBy("component").agg(F.max("blocks").alias("blocks"), F.max("allows").alias("allows"))
+    whole = stored(whole, "url-classes")
     verdict = F.when(F.coalesce("allows", F.lit(0)) == 1, F.lit("allow")).when(F.col("blocks") == 1, F.lit("block")).otherwise(F.lit("allow"))
     return named.select("node", "component").join(whole, "component").select("node", verdict.alias("class_verdict"))
 

@@ -402,11 +402,16 @@ def test_repetition(docs):
             continue
         w = WORDS.findall(text)
         r = got[doc_id]
-        for size in (5, 8):
+        for size in (5, 6, 7, 9, 10, 8):
             windows = Counter(tuple(w[i : i + size]) for i in range(len(w) - size + 1))
             marked = {j for i in range(len(w) - size + 1) if windows[tuple(w[i : i + size])] > 1 for j in range(i, i + size)}
             assert math.isclose(r[f"cover_{size}"], sum(len(w[j]) for j in marked) / max(1, sum(map(len, w))))
         assert r["n_repeat_words"] == len(marked)
+        for size in (2, 3, 4):
+            windows = Counter(tuple(w[i : i + size]) for i in range(len(w) - size + 1))
+            tops = [g for g, k in windows.items() if k > 1 and k == max(windows.values())]
+            shares = [sum(len(w[j]) for j in {j for i in range(len(w) - size + 1) if tuple(w[i : i + size]) == g for j in range(i, i + size)}) / sum(map(len, w)) for g in tops]
+            assert any(math.isclose(r[f"cover_{size}"], x) for x in shares or [0.0])
         seen, dup = set(), 0
         for line in text.split("\n"):
             if WORDS.search(line):
@@ -470,6 +475,37 @@ def test_quality_model(spark):
     assert (up[:, None] > down[None, :]).mean() > 0.9
 
 
+def test_quality_model_against_plain_version():
+    """The fit of dense vectors by the same steps, written out, and the score of each text."""
+    rng = np.random.default_rng(2)
+    texts_of = lambda label, n: ["".join(rng.choice(list("abcde" if label else "defgh"), 30)) for _ in range(n)]
+    texts_in = texts_of(0, 20) + texts_of(1, 30)
+    labels = np.array([0] * 20 + [1] * 30)
+    rows_in = [quality_model.ngrams(t) for t in texts_in]
+    x = np.zeros((50, 1 << quality_model.BITS))
+    for i, f in enumerate(rows_in):
+        x[i, f] = 1
+    up, down = 1 + x[labels == 1].sum(axis=0), 1 + x[labels == 0].sum(axis=0)
+    ratio = np.log(up / up.sum()) - np.log(down / down.sum())
+    v = x * ratio
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    v = np.hstack([v, np.ones((50, 1))])  # the bias
+    y, alpha, w, order = np.where(labels == 1, 1.0, -1.0), np.zeros(50), np.zeros(v.shape[1]), np.random.default_rng(7)
+    for _ in range(12):
+        for i in order.permutation(50):
+            most = 50 / (2 * (30 if y[i] > 0 else 20))
+            new = min(max(alpha[i] - (y[i] * (v[i] @ w) - 1) / (v[i] @ v[i]), 0), most)
+            w += (new - alpha[i]) * y[i] * v[i]
+            alpha[i] = new
+    model = quality_model.fit_margin(rows_in, labels)
+    assert np.allclose([model.margin(f) for f in rows_in], v @ w, atol=1e-4)
+    whole = quality_model.fit(rows_in, labels)
+    scores = [whole.score(t) for t in [*texts_in, ""]]
+    assert all(0 <= p <= 1 for p in scores) and min(scores[20:50]) > max(scores[:20])
+    # Every n-gram of one to four bytes has a feature, and no other.
+    assert len(quality_model.ngrams("abca")) == len({"abca"[i : i + n] for n in (1, 2, 3, 4) for i in range(5 - n)})
+
+
 def test_quality_model_without_labels(spark, docs):
     none = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
     got = quality_model.classify(docs, none).toPandas()
@@ -500,17 +536,44 @@ def test_repeated_rows_leave_one(docs):
     assert sum(r["kept"] for r in rows(exact_dedup.classify(twice))) == exact_dedup.dedup(twice).count() == len({v[2] for v in exact_plain(docs).values()})
 
 
-def test_digest_index_over_several_flushes(spark, docs):
+def test_digest_index_over_several_flushes(spark, docs, monkeypatch):
+    """Three flushes of three runs each, merged two by two: four levels."""
+    monkeypatch.setattr(exact_dedup, "FAN_IN", 2)
     index = exact_dedup.DigestIndex(spark)
     entries = exact_dedup.digested(docs)
     for k in range(3):
         index.flush(entries.where(F.col("doc_id") % 3 == k))
     merged = index.compact()
+    assert index.levels >= 3
     assert {bytes(r.digest).hex(): r.keep_id for r in merged.collect()} == {v[2]: v[0] for v in exact_plain(docs).values()}
     one = merged.first()
     assert index.lookup(merged, [bytes(one.digest)]).first().keep_id == one.keep_id
 
 
+def test_only_texts_of_hits_are_verified(spark, docs):
+    index = exact_dedup.DigestIndex(spark)
+    index.flush(exact_dedup.digested(docs))
+    hits = exact_dedup.hit_filter(index.compact())
+    groups = Counter(v[2] for v in exact_plain(docs).values())
+    assert hits.count() <= sum(n > 1 for n in groups.values()) < len(groups)
+    plan = exact_dedup.colliding(docs, hits)._jdf.queryExecution().toString()
+    assert "BroadcastHashJoin" in plan
+
+
+def test_mixing_at_high_rates(spark):
+    """Rates beyond one draw: the sum of the draws, and the SQL agrees; a source without text has rate one."""
+    data = [(k, "a" * (1 if k < 40 else 4000), "rare" if k < 40 else "big") for k in range(60)] + [(100 + k, "", "none") for k in range(50)]
+    df, weights = spark.createDataFrame(data, "doc_id bigint, text string, source string"), {"rare": 0.2, "none": 0.1}
+    got = mixing.report(df, weights).toPandas()
+    rate = 0.2 * 80040 / 40
+    assert mixing.draws_of(rate) > 10 and abs((got.source == "rare").sum() / 40 - rate) < 5 * math.sqrt(rate / 40)
+    assert 20 < (got.source == "none").sum() < 90
+    con, documents = duckdb.connect(), df.toPandas()  # noqa: F841
+    want = con.sql(mixing.report_sql(weights)).df()
+    key = ["doc_id", "copy"]
+    assert got.sort_values(key)[["doc_id", "n_copies", "copy", "order_key"]].values.tolist() == want.sort_values(key)[["doc_id", "n_copies", "copy", "order_key"]].values.tolist()
+
+
 def test_mixing(docs):
     weights = {"src0": 0.5, "src1": 0.1}
     got = mixing.report(docs, weights).toPandas()
