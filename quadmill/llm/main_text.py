@@ -1,30 +1,41 @@
 """Main text of web pages by two passes over blocks.
 
-The page is cut at block tags. Scripts, styles, comments and forms vanish. A block
-knows its text, how much of it is in links, how many of its words are stop words and
-what it stands in. The first pass decides: blocks in menus, headers, footers, sidebars,
-notices, adverts or comments are boilerplate, and so are blocks made of links; blocks
-in an article are content; elsewhere long blocks with stop words are content, and long
-ones without are boilerplate. What is short is ambiguous. In the second pass ambiguous
-blocks take the label of the nearest decided neighbour; of two at equal distance, and
-at the ends of the page, boilerplate wins.
+The page is cut at block tags; scripts, styles, comments and form fields vanish. A block
+knows its text, how much of it is in links and how many of its words are stop words. The
+first pass classifies by these: blocks made of links are boilerplate, long blocks with
+stop words are content, long ones without are boilerplate, and what is short, or a
+heading, is ambiguous. In the second pass ambiguous blocks inherit the label of the nearest
+decided neighbour; of two at equal distance, and at the ends of the page, boilerplate wins.
+
+What a block stands in is one feature more. Containers that are named or tagged as menus,
+headers, footers, sidebars, notices, adverts, forms or comments overrule prose, which
+density can't tell from an article's, unless the container is a wrapper: one with all of
+the page's articles in it, or where there is no article with all first headings, or where
+there are none with most of the prose. Names of html, body, main and article say nothing,
+and a header in an article is part of it. Inside an article or main part, blocks are judged
+by density like others, but want of stop words makes them ambiguous rather than boilerplate,
+and ambiguous blocks look for neighbours in the same article, where content wins.
 
 Edge cases: null html is empty, and its text too; unclosed tags end with the page or
-with the container around them; a page without any tag is one block; an empty table
-gives an empty result; repeated rows give repeated results; other columns are not read.
+with the container around them; a page without any tag is one block; a page without any
+decided block keeps its ambiguous ones; an empty table gives an empty result; repeated
+rows give repeated results; other columns are not read.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
+from collections import defaultdict
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import text_pieces, whole_texts
+
 #: Frequent function words of the four languages.
 STOP_WORDS = frozenset(
     """the of and to in is that it for was on are as with be by this at from or an have not they which you
@@ -32,14 +43,18 @@ STOP_WORDS = frozenset(
     der die das und ist von zu den mit sich des auf für nicht ein eine als auch es an dem im er wird
     el los las y una del por con para su lo como más o sus al se no""".split()
 )
-#: Elements whose content is never text.
-DROPPED = "script|style|noscript|template|svg|math|iframe|object|form|button|select|textarea|head"
+#: Elements whose content is never text; a block goes on after them.
+DROPPED = "script|style|noscript|template|svg|iframe|object|button|select|textarea|head"
 BLOCKS = frozenset(
-    """address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer
+    """address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form
     h1 h2 h3 h4 h5 h6 header hr html li main nav ol p pre section summary table tbody td tfoot th thead tr ul""".split()
 )
-BOILERPLATE_TAGS = frozenset("nav footer aside header menu dialog".split())
+BOILERPLATE_TAGS = frozenset("nav footer aside header menu dialog form".split())
 CONTENT_TAGS = frozenset(("article", "main"))
+#: Tags whose class, id and role are not looked at.
+STRUCTURAL_TAGS = frozenset(("html", "body", "main", "article"))
+#: Share of a page's prose by which a container is a wrapper.
+WRAPPED = 0.8
 #: Words of class, id and role that name boilerplate.
 BOILERPLATE_NAMES = frozenset(
     """ad ads adv advert advertisement banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus
@@ -64,25 +79,37 @@ WORD = re.compile(r"[^\W\d_]+")
 class Block:
     text: str
     linked: int
-    inside: int  # BAD, GOOD or OPEN: the innermost container that says so
     heading: bool
+    inside: int  # number of the container
+    density: int = OPEN
+    label: int = OPEN
+    rule: str = ""  # what decided: links, density, container or neighbour
+
+
+@dataclass
+class Page:
+    blocks: list[Block] = field(default_factory=list)
+    #: Of each container, the page itself being 0: the one around it, its tag, and whether it
+    #: is named or tagged as boilerplate. Outer containers come before inner ones.
+    around: list[int] = field(default_factory=lambda: [0])
+    tags: list[str] = field(default_factory=lambda: [""])
+    suspect: list[bool] = field(default_factory=lambda: [False])
 
 
-def container(tag: str, attributes: str) -> int:
+def is_suspect(tag: str, attributes: str) -> bool:
     if tag in BOILERPLATE_TAGS:
-        return BAD
-    if attributes:
-        for found in NAMES.finditer(attributes):
-            value = (found[1] or found[2] or found[3] or "").lower()
-            if not BOILERPLATE_NAMES.isdisjoint(re.split(r"[^a-z0-9]+", value)):
-                return BAD
-    return GOOD if tag in CONTENT_TAGS else OPEN
-
-
-def blocks(page: str) -> list[Block]:
-    """The non-empty blocks of a page in their order."""
-    out: list[Block] = []
-    stack: list[tuple[str, int, bool]] = [("", OPEN, False)]
+        return True
+    if tag in STRUCTURAL_TAGS or not attributes:
+        return False
+    values = ((found[1] or found[2] or found[3] or "").lower() for found in NAMES.finditer(attributes))
+    return any(not BOILERPLATE_NAMES.isdisjoint(re.split(r"[^a-z0-9]+", v)) for v in values)
+
+
+def blocks(html: str) -> Page:
+    """The non-empty blocks of a page in their order, and its containers."""
+    page = Page()
+    stack: list[int] = [0]
+    places: dict[str, list[int]] = defaultdict(list)  # of each tag, where it is on the stack
     parts: list[str] = []
     links: list[str] = []
     in_link = heading = False
@@ -93,21 +120,25 @@ def blocks(page: str) -> list[Block]:
             text = " ".join(entities.unescape("".join(parts)).split())
             if text:
                 linked = len(" ".join(entities.unescape("".join(links)).split()))
-                out.append(Block(text, linked, stack[-1][1], heading))
+                page.blocks.append(Block(text, linked, heading, stack[-1]))
             parts.clear()
             links.clear()
         heading = False
 
+    def close(depth: int) -> None:
+        while len(stack) > depth:
+            places[page.tags[stack.pop()]].pop()
+
     at = 0
-    for token in TOKEN.finditer(page):
+    for token in TOKEN.finditer(html):
         if token.start() > at:
-            parts.append(page[at : token.start()])
+            parts.append(html[at : token.start()])
             if in_link:
                 links.append(parts[-1])
         at = token.end()
         tag = (token[3] or "").lower()
         if not tag:
-            if token[1]:
+            if token[1] and token[1].lower() == "head":
                 end()
             continue
         if tag == "a":
@@ -120,28 +151,27 @@ def blocks(page: str) -> list[Block]:
             if tag in VOID:
                 continue
             if token[2]:
-                depth = next((d for d in range(len(stack) - 1, 0, -1) if stack[d][0] == tag), 0)
-                if depth:
-                    del stack[depth:]
+                if places[tag]:
+                    close(places[tag][-1])
             else:
-                if tag in ("p", "li", "td", "th", "dt", "dd", "tr") and stack[-1][0] == tag:
-                    stack.pop()  # their end tags may be left out
-                if len(stack) < 10_000:
-                    outer, own = stack[-1][1], container(tag, token[4] or "")
-                    bad = stack[-1][2] or own == BAD
-                    stack.append((tag, BAD if bad else own or outer, bad))
+                if tag in ("p", "li", "td", "th", "dt", "dd", "tr") and page.tags[stack[-1]] == tag:
+                    close(len(stack) - 1)  # their end tags may be left out
+                page.around.append(stack[-1])
+                page.tags.append(tag)
+                page.suspect.append(is_suspect(tag, token[4] or ""))
+                places[tag].append(len(stack))
+                stack.append(len(page.tags) - 1)
                 heading = tag[0] == "h" and tag[1:].isdigit()
-    parts.append(page[at:])
+    parts.append(html[at:])
     end()
-    return out
+    return page
 
 
-def first_pass(block: Block) -> int:
+def density(block: Block) -> int:
+    """What length, links and stop words say."""
     size = len(block.text)
-    if block.inside == BAD or block.linked > LINK_DENSITY * size:
+    if block.linked > LINK_DENSITY * size:
         return BAD
-    if block.inside == GOOD:
-        return GOOD
     if block.heading or size < SHORT:
         return OPEN
     words = WORD.findall(block.text.lower())
@@ -151,46 +181,99 @@ def first_pass(block: Block) -> int:
     return BAD if share < STOP_LOW and (size >= LONG or block.linked) else OPEN
 
 
-def second_pass(labels: list[int], alone: list[bool]) -> list[int]:
-    """Ambiguous blocks take the nearest decided label; the ends of a page are boilerplate.
+def containers(page: Page) -> tuple[list[bool], list[int]]:
+    """Of each container: whether it, or one around it, is boilerplate; the article it is in, or 0."""
+    n = len(page.tags)
+    articles = [int(t in CONTENT_TAGS) for t in page.tags]
+    firsts = [int(t == "h1") for t in page.tags]
+    prose = [0] * n
+    for b in page.blocks:
+        prose[b.inside] += len(b.text) * (b.density == GOOD)
+    for sums in (articles, firsts, prose):
+        for c in range(n - 1, 0, -1):
+            sums[page.around[c]] += sums[c]
+    bad, home = [False] * n, [0] * n
+    for c in range(1, n):
+        up = page.around[c]
+        home[c] = c if page.tags[c] in CONTENT_TAGS else home[up]
+        if articles[0]:
+            wrapper = articles[c] == articles[0]
+        elif firsts[0]:
+            wrapper = firsts[c] == firsts[0] and page.tags[c] != "header"
+        else:
+            wrapper = prose[c] > WRAPPED * prose[0]
+        own = page.suspect[c] and not wrapper and not (page.tags[c] == "header" and home[up])
+        bad[c] = bad[up] or own
+    return bad, home
 
-    A page without any decided block keeps its ambiguous ones.
-    """
-    if not any(labels):
-        return [GOOD] * len(labels)
-    n, far = len(labels), len(labels) + 1
-    left, right = [(far, BAD)] * n, [(far, BAD)] * n
+
+def first_pass(page: Page) -> list[int]:
+    """Labels by density and container; returns the article of each block, or 0."""
+    for b in page.blocks:
+        b.density = density(b)
+    bad, home = containers(page)
+    for b in page.blocks:
+        links = b.linked > LINK_DENSITY * len(b.text)
+        if links or not bad[b.inside]:
+            b.label = OPEN if b.density == BAD and not links and home[b.inside] else b.density
+            b.rule = ("links" if links else "density") if b.label else ""
+        else:
+            b.label, b.rule = BAD, "container"
+    return [home[b.inside] for b in page.blocks]
+
+
+def second_pass(labels: list[int], headings: list[bool], inner: bool = False) -> list[int]:
+    """Ambiguous blocks take the nearest decided label. Of two at equal distance, and at the
+    ends, boilerplate wins; ``inner``, in an article, content does."""
+    n, far, edge = len(labels), len(labels) + 1, GOOD if inner else BAD
+    left, right = [(far, edge)] * n, [(far, edge)] * n
     for order, side in ((range(n), left), (range(n - 1, -1, -1), right)):
-        distance, label = 0, BAD
+        distance, label = 0, edge
         for i in order:
             distance += 1
             if labels[i]:
                 distance, label = 0, labels[i]
             side[i] = (distance, label)
     out = []
-    for own, is_heading, (a, before), (b, after) in zip(labels, alone, left, right):
+    for own, heading, (a, before), (b, after) in zip(labels, headings, left, right):
         if own:
             out.append(own)
-        elif is_heading:
+        elif heading:
             out.append(after)  # a heading belongs to what follows
         else:
-            out.append(before if a < b else after if b < a else min(before, after))
+            out.append(before if a < b else after if b < a else (max if inner else min)(before, after))
     return out
 
 
-def main_text(page: str | None) -> str:
-    found = blocks(page or "")
-    labels = second_pass([first_pass(b) for b in found], [b.heading for b in found])
-    return "\n\n".join(b.text for b, label in zip(found, labels) if label == GOOD)
+def classified(html: str) -> list[Block]:
+    """The blocks of a page with their labels and the rules that decided them."""
+    found = blocks(html)
+    homes = first_pass(found)
+    apart = defaultdict(list)  # articles first by their own blocks, then the page by all
+    for i, b in enumerate(found.blocks):
+        if homes[i] and b.rule != "container":
+            apart[homes[i]].append(b)
+    for own, inner in [*((v, True) for v in apart.values()), (found.blocks, False)]:
+        labels = [b.label for b in own]
+        new = second_pass(labels, [b.heading for b in own], inner) if inner or any(b.rule != "container" and b.label for b in own) else [b.label or GOOD for b in own]
+        for b, label in zip(own, new):
+            if not b.label:
+                b.label, b.rule = label, "neighbour"
+    return found.blocks
+
+
+def main_text(html: str | None) -> str:
+    return "\n\n".join(b.text for b in classified(html or "") if b.label == GOOD)
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """One row per row of ``pages``: page_id, url, text, n_chars."""
 
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            texts = [main_text(h) for h in batch["html"]]
-            yield pd.DataFrame({"page_id": batch["page_id"].astype("Int64"), "url": batch["url"], "text": texts, "n_chars": [len(t) for t in texts]})
+        for batch in whole_texts(batches):
+            texts = [main_text(h) for h in batch["_qm_text"]]
+            yield pd.DataFrame({"page_id": batch["page_id"], "url": batch["url"], "text": texts, "n_chars": [len(t) for t in texts]})
 
-    rows = pages.select(F.col("page_id").cast("bigint").alias("page_id"), "url", F.coalesce("html", F.lit("")).alias("html"))
-    return rows.mapInPandas(each, "page_id bigint, url string, text string, n_chars bigint")
+    rows = text_pieces(pages.select(F.col("page_id").cast("string").alias("page_id"), "url", "html"), "html")
+    out = rows.mapInPandas(each, "page_id string, url string, text string, n_chars bigint")
+    return out.withColumn("page_id", F.col("page_id").cast("bigint"))

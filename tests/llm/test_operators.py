@@ -443,6 +443,37 @@ def test_main_text_without_article():
     ]
 
 
+PROSE = "This is the first paragraph of the text, and it is long enough to be of use to those who read it in the morning, and in the evening too."
+MORE = "And the second paragraph is as long as the first, so that it is clear to all that this is the text of the page, as it has been said."
+MENU = "<nav><ul><li><a href='/'>Home</a></li><li><a href='/x'>About</a></li></ul></nav><div class='cookie-notice'>We use cookies to give you the best of the web, as all of them do, and you may say no to this.</div>"
+TAIL = "<section id='comments'><article class='comment'><p>I think that this is the best of all the texts in the world and that you should read it to the end of the day.</p></article></section><footer>The owners of the site and of all that is in it</footer>"
+
+
+@pytest.mark.parametrize("page, want", [
+    (f"<body class='no-sidebar'>{MENU}<article><h1>T</h1><p>{PROSE}</p><p>{MORE}</p></article>{TAIL}</body>", ["T", PROSE, MORE]),
+    (f"<body class='comments-open'>{MENU}<div><h1>T</h1><p>{PROSE}</p><p>{MORE}</p></div><footer>The owners</footer></body>", ["T", PROSE, MORE]),
+    (f"<main class='has-menu'><h1>T</h1><p>{PROSE}</p></main>", ["T", PROSE]),
+    (f"{MENU}<article><header><h1>T</h1></header><p>{PROSE}</p><p>Short.</p></article>{TAIL}", ["T", PROSE, "Short."]),
+    (f"<form id='aspnet'>{MENU}<div><h1>T</h1><p>{PROSE}</p></div><footer>The owners of it</footer></form>", ["T", PROSE]),
+    (f"<form><p>{PROSE}</p><p>{MORE}</p></form>", [PROSE, MORE]),
+    (f"<div id='share-wrap'><p>{PROSE}</p><p>{MORE}</p></div>", [PROSE, MORE]),
+    (f"<article><p>{PROSE} <math><mi>x</mi></math> {MORE}</p></article>", [f"{PROSE} x {MORE}"]),
+    (f"<article><p>{PROSE}<script>var a='<p>';</script> {MORE}</p></article>", [f"{PROSE} {MORE}"]),
+    ("<article><h1>T</h1><p>One.</p><p>Two.</p></article><footer>The owners of the site and of all that is in it</footer>", ["T", "One.", "Two."]),
+    (f"{MENU}<div><h2>T</h2><p>{PROSE}</p><p>Short.</p><p>{MORE}</p></div><ul><li><a href='/z'>More of the same</a></li></ul>", ["T", PROSE, "Short.", MORE]),
+    ("<div>" * 20000 + f"<p>{PROSE}</p>" + "</div>" * 20000, [PROSE]),
+])
+def test_main_text_of_page_kinds(page, want):
+    assert main_text.main_text(page).split("\n\n") == want
+
+
+def test_main_text_is_decided_by_density(pages):
+    """Of the blocks that are kept, most are decided by density, the others by neighbours."""
+    rules = Counter((b.label, b.rule) for r in pages.collect() for b in main_text.classified(r.html))
+    kept = sum(n for (label, _), n in rules.items() if label == main_text.GOOD)
+    assert rules[main_text.GOOD, "density"] > 0.5 * kept and rules[main_text.GOOD, "density"] + rules[main_text.GOOD, "neighbour"] == kept
+
+
 def test_main_text_of_table(pages):
     import html
 
