@@ -22,7 +22,8 @@ def col(x) -> Column:
 
 
 def clip(x: Column, low, high) -> Column:
-    return F.greatest(F.least(x, col(high)), col(low))
+    """Between low and high; null stays null, which greatest and least would skip."""
+    return F.when(x.isNotNull(), F.greatest(F.least(x, col(high)), col(low)))
 
 
 # Mercator ------------------------------------------------------------------------
@@ -60,9 +61,14 @@ def latitude(y, e: float = 0.0, rounds: int = 10) -> Column:
 MAX_LATITUDE = math.degrees(2 * math.atan(math.exp(math.pi)) - math.pi / 2)
 
 
+def world_latitude(lat) -> Column:
+    """On the square map, which ends before the poles."""
+    return clip(col(lat), -MAX_LATITUDE, MAX_LATITUDE)
+
+
 def ground_resolution(lat, lod) -> Column:
     """Metres per pixel."""
-    return F.cos(F.radians(col(lat))) * (2 * math.pi * RADIUS) / map_size(lod)
+    return F.cos(F.radians(world_latitude(lat))) * (2 * math.pi * RADIUS) / map_size(lod)
 
 
 def map_size(lod) -> Column:
@@ -89,7 +95,7 @@ def tile_of(pixel) -> Column:
 
 def with_tiles(df, lod: int, lng="lng", lat="lat"):
     """df with px, py, tx and ty at a level of detail."""
-    df = df.withColumn("px", pixel_x(mercator_x(lng), lod)).withColumn("py", pixel_y(mercator_y(lat), lod))
+    df = df.withColumn("px", pixel_x(mercator_x(lng), lod)).withColumn("py", pixel_y(mercator_y(world_latitude(lat)), lod))
     return df.withColumn("tx", tile_of("px")).withColumn("ty", tile_of("py"))
 
 
@@ -203,8 +209,8 @@ def octree_box(i, j, k, level: int) -> list[Column]:
 def box_tiles(lng0, lat0, lng1, lat1, lod) -> list[Column]:
     """x0, y0, x1, y1: the tiles of the box's corners."""
     return [
-        tile_of(pixel_x(mercator_x(lng0), lod)), tile_of(pixel_y(mercator_y(lat1), lod)),
-        tile_of(pixel_x(mercator_x(lng1), lod)), tile_of(pixel_y(mercator_y(lat0), lod)),
+        tile_of(pixel_x(mercator_x(lng0), lod)), tile_of(pixel_y(mercator_y(world_latitude(lat1)), lod)),
+        tile_of(pixel_x(mercator_x(lng1), lod)), tile_of(pixel_y(mercator_y(world_latitude(lat0)), lod)),
     ]
 
 
@@ -212,7 +218,7 @@ def box_tiles_py(lng0: float, lat0: float, lng1: float, lat1: float, lod: int) -
     """The same for constants."""
     last = (TILE << lod) - 1
     px = lambda v: min(max(math.floor((v + 1) / 2 * last + 0.5), 0), last)
-    y = lambda lat: math.log(math.tan(math.pi / 4 + math.radians(lat) / 2)) / math.pi
+    y = lambda lat: math.log(math.tan(math.pi / 4 + math.radians(min(max(lat, -MAX_LATITUDE), MAX_LATITUDE)) / 2)) / math.pi
     return px(lng0 / 180) >> 8, last - px(y(lat1)) >> 8, px(lng1 / 180) >> 8, last - px(y(lat0)) >> 8
 
 

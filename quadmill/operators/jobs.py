@@ -105,10 +105,10 @@ def visible_zooms(least: float, most: float, zooms: range = range(0, 24)) -> lis
 
 def features_by_rule(features: DataFrame, rules: list[dict]) -> DataFrame:
     """(feature, rule, zoom): features that pass a rule's filter, at each zoom it shows."""
-    out = None
+    shown = []
     for rule in rules:
-        zooms = visible_zooms(rule.get("min", 0.0), rule.get("max", 1e12))
-        rows = features.where(rule_filter(rule.get("filter", ""))).withColumn("rule", F.lit(rule["name"]))
-        rows = rows.withColumn("zoom", F.explode(F.array(*[F.lit(z) for z in zooms]) if zooms else F.array().cast("array<int>")))
-        out = rows if out is None else out.unionByName(rows)
-    return out
+        zooms = F.array(*[F.lit(z) for z in visible_zooms(rule.get("min", 0.0), rule.get("max", 1e12))]).cast("array<int>")
+        fits = F.when(rule_filter(rule.get("filter", "")), zooms).otherwise(F.array().cast("array<int>"))
+        shown.append(F.arrays_zip(F.array_repeat(F.lit(rule["name"]), F.size(fits)).alias("rule"), fits.alias("zoom")))
+    # One scan for all rules.
+    return features.select("*", F.inline(F.concat(*shown)))

@@ -1,7 +1,7 @@
 """Terrain meshes: Delaunay triangulation, cuts at tile borders, reduction, mesh tiles.
 
-A triangulation lives inside one task: it covers a tile and its halo, which is capped
-before. Triangles are kept as a map from each directed edge to the vertex on its left.
+A triangulation lives inside one task: it covers a tile and a margin of its neighbours,
+all of whose points are used. Triangles are kept as a map from each directed edge to the vertex on its left.
 Signs of predicates are exact: a float filter comes first, rationals decide what is
 too close to call. Points are (x, y, z) with x, y normalised Mercator.
 """
@@ -15,7 +15,8 @@ from fractions import Fraction
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from ..functions.geodesy import E2
 from ..functions.grid import RADIUS
@@ -23,6 +24,8 @@ from .binning import halo
 
 SAME = 1e-12
 CORNER_CLEARANCE, EDGE_SPACING = 1 / 34, 1 / 17
+#: Of the neighbours, mean distances of points that a tile's triangulation reaches into them.
+MARGIN_SPACINGS = 24
 SKIRT = 1000.0
 
 
@@ -229,8 +232,9 @@ def build(parts: dict[str, list[tuple]], x0: float, y0: float, x1: float, y1: fl
     """The tile's triangulation, and its border vertices."""
     mesh = Delaunay(x0, y0, x1, y1)
     fixed = {mesh.insert(*p) for k in ("corners", "north", "east", "south", "west") for p in parts[k]}
-    for p in parts["middle"]:
-        mesh.insert(*p)
+    middle = np.array(parts["middle"], dtype=float).reshape(-1, 3)
+    for x, y, z in middle[snake(middle)].tolist():
+        mesh.insert(x, y, z)
     return mesh, fixed
 
 
@@ -329,13 +333,36 @@ def tile_row(tx: int, ty: int, lod: int, parts: dict, most: int) -> pd.DataFrame
     return pd.DataFrame([{**row, "middle": as_rows(inner), "mesh": mesh_json(mesh, *box)}])
 
 
+def snake(points: np.ndarray) -> np.ndarray:
+    """An order along strips, up and down in turn: neighbours in it are close, so that each
+    insertion finds its triangle in a few steps."""
+    if not len(points):
+        return np.zeros(0, np.int64)
+    low, high = points[:, 0].min(), points[:, 0].max()
+    strips = max(1, math.isqrt(len(points) // 4))
+    strip = np.minimum((points[:, 0] - low) / ((high - low) or 1.0) * strips, strips - 1).astype(np.int64)
+    return np.lexsort((points[:, 0], np.where(strip % 2, -points[:, 1], points[:, 1]), strip))
+
+
+def near_border(lod: int, margin: float) -> Column:
+    """Of rows (x, y, tx, ty) sent by dx, dy: whether that neighbour is within ``margin`` of a tile."""
+    side = 2.0 / 2**lod
+    fx = (F.col("x") + 1) / side - F.col("tx")
+    fy = (1 - F.col("y")) / side - F.col("ty")
+    near = lambda d, f: (F.col(d) == 0) | (F.col(d) == -1) & (f <= margin) | (F.col(d) == 1) & (f >= 1 - margin)
+    return near("dx", fx) & near("dy", fy)
+
+
 def triangulate(points: DataFrame, lod: int, max_points: int = 512, extent: tuple[int, int, int, int] | None = None) -> DataFrame:
-    """Mesh tiles of points (x, y, elevation, tx, ty): each tile's points and its
-    neighbours' meet in one task, are all triangulated, and reduced by least error. A task
-    holds the points of nine tiles: choose ``lod`` by their density."""
+    """Mesh tiles of points (x, y, elevation, tx, ty): each tile's points and those of its
+    neighbours within a margin meet in one task, are all triangulated, and reduced by least
+    error. The margin is MARGIN_SPACINGS mean distances of points, a whole tile at most. A task
+    holds the points of one tile and its margin: choose ``lod`` by their density."""
     if not 32 < max_points < 2048:
         raise ValueError("max_points must be in 33..2047")
-    near = halo(points.select("x", "y", "elevation", "tx", "ty"))
+    mean = points.groupBy("tx", "ty").agg(F.count("*").alias("n")).agg(F.avg("n").alias("mean")).first()["mean"] or 1.0
+    margin = min(1.0, MARGIN_SPACINGS / math.sqrt(mean))
+    near = halo(points.select("x", "y", "elevation", "tx", "ty"), near_border(lod, margin) if margin < 1 else None)
     if extent:
         x0, y0, x1, y1 = extent
         near = near.where(near["cx"].between(x0 + 1, x1 - 1) & near["cy"].between(y0 + 1, y1 - 1))
@@ -346,8 +373,9 @@ def triangulate(points: DataFrame, lod: int, max_points: int = 512, extent: tupl
             return pd.DataFrame(columns=[c.strip().split(" ")[0] for c in "tx, ty, n_points, n_triangles, corners, north, east, south, west, middle, mesh".split(",")])
         x0, y0, x1, y1 = tile_box(tx, ty, lod)
         whole = Delaunay(2 * x0 - x1, 2 * y0 - y1, 2 * x1 - x0, 2 * y1 - y0)
-        for p in rows[["x", "y", "elevation"]].drop_duplicates(["x", "y"]).sort_values(["x", "y"]).itertuples(index=False):
-            whole.insert(*p)
+        own = rows[["x", "y", "elevation"]].sort_values(["x", "y", "elevation"]).drop_duplicates(["x", "y"]).to_numpy(float)
+        for x, y, z in own[snake(own)].tolist():
+            whole.insert(x, y, z)
         return tile_row(tx, ty, lod, cut(whole, x0, y0, x1, y1), max_points)
 
     # Tiles are few bytes but much work: a fixed number of partitions isn't coalesced.
@@ -358,7 +386,6 @@ def triangulate(points: DataFrame, lod: int, max_points: int = 512, extent: tupl
 def elevation_level(tiles: DataFrame, lod: int, max_points: int = 512) -> DataFrame:
     """Mesh tiles of the level above ``lod``: corners of the outer children, their outer
     borders, all inner points, reduced again."""
-    from pyspark.sql import functions as F
 
     def merge(key, rows: pd.DataFrame) -> pd.DataFrame:
         tx, ty = int(key[0]), int(key[1])

@@ -165,3 +165,16 @@ def hillshade_tiles(cells: DataFrame, ew: float, ns: float, size: int = 64, **op
         return pd.DataFrame({"tx": [key[0]], "ty": [key[1]], "shade": [shade_kernel(e, ew, ns, **options).tobytes()]})
 
     return sent.groupBy("tx", "ty").applyInPandas(shade, "tx bigint, ty bigint, shade binary")
+
+
+def shade_cells(tiles: DataFrame, size: int = 64) -> DataFrame:
+    """(px, py, shade) of the shaded cells of tiles (tx, ty, shade); 0 is transparent."""
+
+    def cells(batches):
+        for batch in batches:
+            for tx, ty, blob in zip(batch["tx"], batch["ty"], batch["shade"]):
+                grid = np.frombuffer(blob, np.uint8).reshape(size, size)
+                j, i = np.nonzero(grid)
+                yield pd.DataFrame({"px": tx * size + i, "py": ty * size + j, "shade": grid[j, i].astype(np.int32)})
+
+    return tiles.mapInPandas(cells, "px bigint, py bigint, shade int")

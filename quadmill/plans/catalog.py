@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import asdict, dataclass, field
+from dataclasses import asdict, dataclass
 from xml.sax.saxutils import escape
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -35,14 +35,18 @@ class Catalog:
 
     spark: SparkSession
     path: str
-    known: dict[str, Layer] = field(default_factory=dict)
+
+    def exists(self, name: str) -> bool:
+        """Whether a layer was stored, by this session or any other."""
+        jvm = self.spark._jvm
+        path = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}/_SUCCESS")
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path)
 
     def create_layer(self, layer: Layer, force: bool = False) -> Layer:
         if layer.type not in TYPES:
             raise ValueError(f"unsupported layer type {layer.type}")
-        if layer.name in self.known and not force:
+        if self.exists(layer.name) and not force:
             raise ValueError(f"layer {layer.name} exists")
-        self.known[layer.name] = layer
         row = self.spark.createDataFrame([tuple(asdict(layer)[c.split()[0]] for c in LAYER.split(", "))], LAYER)
         row.coalesce(1).write.mode("overwrite").json(f"{self.path}/{layer.name}")
         return layer

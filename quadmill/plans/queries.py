@@ -167,9 +167,9 @@ def affine(spark, sf):
 # Extents and jobs ------------------------------------------------------------------------
 
 
-@query("extent_bbox", "q_b as (select min(lng) as lng0, min(lat) as lat0, max(lng) as lng1, max(lat) as lat1 from geo_points where l_orderkey % 7 = 3) " + " union all ".join(f"select {lod} as lod, {px_sql('lng0/180', lod)} >> 8 as x0, {py_sql('(ln(tan(pi()/4+radians(lat1)/2))/pi())', lod)} >> 8 as y0, {px_sql('lng1/180', lod)} >> 8 as x1, {py_sql('(ln(tan(pi()/4+radians(lat0)/2))/pi())', lod)} >> 8 as y1 from q_b" for lod in range(1, 23)))
+@query("extent_bbox", "q_b as (select min(lng) as lng0, min(lat) as lat0, max(lng) as lng1, max(lat) as lat1 from geo_points) " + " union all ".join(f"select {lod} as lod, {px_sql('lng0/180', lod)} >> 8 as x0, {py_sql('(ln(tan(pi()/4+radians(lat1)/2))/pi())', lod)} >> 8 as y0, {px_sql('lng1/180', lod)} >> 8 as x1, {py_sql('(ln(tan(pi()/4+radians(lat0)/2))/pi())', lod)} >> 8 as y1 from q_b" for lod in range(1, 23)))
 def extent_bbox(spark, sf):
-    b = binning.bounds(view(spark, sf, "geo_points").where("l_orderkey % 7 = 3"), "lng", "lat")
+    b = binning.bounds(view(spark, sf, "geo_points"), "lng", "lat")
     each = b.withColumn("lod", F.explode(F.sequence(lit(1), lit(22))))
     ext = grid.box_tiles("lng_min", "lat_min", "lng_max", "lat_max", c("lod"))
     return each.select("lod", *[v.alias(n) for v, n in zip(ext, ("x0", "y0", "x1", "y1"))])
@@ -343,9 +343,9 @@ def point_cap(spark, sf):
     return binning.cap_points(points(spark, sf, 3), 32, order).select("tx", "ty", "l_orderkey", "l_linenumber", c("rank").cast("int").alias("rank"))
 
 
-@query("sorted_points", f"{points_sql(2)} select tx, ty, array_to_string(list(l_orderkey || ':' || l_linenumber order by lng, lat, l_orderkey, l_linenumber), ',') as ids from q_t where l_orderkey % 4 = 0 group by tx, ty")
+@query("sorted_points", f"{points_sql(2)} select tx, ty, array_to_string(list(l_orderkey || ':' || l_linenumber order by lng, lat, l_orderkey, l_linenumber), ',') as ids from q_t group by tx, ty")
 def sorted_points(spark, sf):
-    p = points(spark, sf, 2).where("l_orderkey % 4 = 0")
+    p = points(spark, sf, 2)
     g = p.groupBy("tx", "ty").agg(F.array_sort(F.collect_list(F.struct("lng", "lat", "l_orderkey", "l_linenumber"))).alias("a"))
     return g.select("tx", "ty", F.array_join(F.transform("a", lambda s: F.concat_ws(":", s["l_orderkey"], s["l_linenumber"])), ",").alias("ids"))
 
@@ -414,10 +414,10 @@ def pyramid_color_mean(spark, sf):
     return pyramid.iterate(base, 6, pyramid.color_level).select(c("lod"), "px", "py", *"rgba")
 
 
-@query("pyramid_raw_mean", _levels("select px, py, cast(v%4096 as double) as v from cells", lambda q: f"select px>>1 as px, py>>1 as py, sum(v)/count(*) as v from {q} group by px>>1, py>>1", 2, "px, py, round(v, 6) as v"))
+@query("pyramid_raw_mean", _levels("select px, py, cast(v%4096 as double) as v from cells", lambda q: f"select px>>1 as px, py>>1 as py, sum(v)/count(*) as v from {q} group by px>>1, py>>1", 6, "px, py, round(v, 6) as v"))
 def pyramid_raw_mean(spark, sf):
     base = view(spark, sf, "cells").select("px", "py", (c("v") % 4096).cast("double").alias("v"))
-    return pyramid.iterate(base, 6, pyramid.raw_level, lowest=5).select("lod", "px", "py", R6("v").alias("v"))
+    return pyramid.iterate(base, 6, pyramid.raw_level).select("lod", "px", "py", R6("v").alias("v"))
 
 
 @query("pyramid_raw_strict", "select px>>1 as px, py>>1 as py, (sum(cast(v%4096 as double)) + (4-count(*))*-9999.0)/4.0 as v from cells group by px>>1, py>>1")
@@ -479,9 +479,9 @@ def _cubic(p: list[str], t: str) -> str:
     return f"({b} + ({d} - {a} + ({a}*2 - {b}*5 + {d}*4 - {e} + ({b}*3 - {d}*3 + {e} - {a})*{t})*{t})*{t}*0.5)"
 
 
-@query("bicubic_sample", f"q_c as (select s.id, s.x, s.y, s.x-floor(s.x) as u, s.y-floor(s.y) as w, {', '.join(f'max(case when a.di={i} and b.dj={j} then c.v end) as v{i + 1}{j + 1}' for j in (-1, 0, 1, 2) for i in (-1, 0, 1, 2))} from {_SAMPLES} s cross join (values (-1),(0),(1),(2)) a(di) cross join (values (-1),(0),(1),(2)) b(dj) join cells c on c.px = cast(floor(s.x) as bigint)+a.di and c.py = cast(floor(s.y) as bigint)+b.dj where s.id % 3 = 0 group by s.id, s.x, s.y having count(*) = 16) select id, round({_cubic([_cubic([f'v{i}{j}' for i in range(4)], 'u') for j in range(4)], 'w')}+1e-7, 3) as value from q_c")
+@query("bicubic_sample", f"q_c as (select s.id, s.x, s.y, s.x-floor(s.x) as u, s.y-floor(s.y) as w, {', '.join(f'max(case when a.di={i} and b.dj={j} then c.v end) as v{i + 1}{j + 1}' for j in (-1, 0, 1, 2) for i in (-1, 0, 1, 2))} from {_SAMPLES} s cross join (values (-1),(0),(1),(2)) a(di) cross join (values (-1),(0),(1),(2)) b(dj) join cells c on c.px = cast(floor(s.x) as bigint)+a.di and c.py = cast(floor(s.y) as bigint)+b.dj group by s.id, s.x, s.y having count(*) = 16) select id, round({_cubic([_cubic([f'v{i}{j}' for i in range(4)], 'u') for j in range(4)], 'w')}+1e-7, 3) as value from q_c")
 def bicubic_sample(spark, sf):
-    return raster.sample(_samples(spark, sf).where("id % 3 = 0"), view(spark, sf, "cells"), "bicubic").select("id", F.round(c("value") + 1e-7, 3).alias("value"))
+    return raster.sample(_samples(spark, sf), view(spark, sf, "cells"), "bicubic").select("id", F.round(c("value") + 1e-7, 3).alias("value"))
 
 
 _ANCHOR = ((10.0, 90.0), (60.0, 95.0), (58.0, 20.0), (12.0, 15.0))
@@ -597,9 +597,10 @@ def color_hsv(spark, sf):
     return t.select(*[R6(x).alias(x) for x in "rgb"], *[R6(v).alias(n) for v, n in zip(color.rgb_to_hsv("r", "g", "b"), "hsv")])
 
 
-@query("hillshade_tiles")
+@query("hillshade_tiles", f"{_W} select px, py, cast(case when c<=0 then 1 else floor(1+s*c) end as integer) as shade from {_ZT}")
 def hillshade_tiles(spark, sf):
-    return terrain.hillshade_tiles(view(spark, sf, "cells").select("px", "py", (c("v") / 100.0).alias("v")), EW, NS)
+    tiles = terrain.hillshade_tiles(view(spark, sf, "cells").select("px", "py", (c("v") / 100.0).alias("v")), EW, NS)
+    return terrain.shade_cells(tiles)
 
 
 # Catalog, styles, functions ---------------------------------------------------------------------
@@ -688,13 +689,19 @@ def mesh_pyramid(spark, sf):
     return elevation_level(triangulate(_mesh_points(spark, sf), 3, 64, (0, 0, 7, 7)), 3, 64)
 
 
-@query("tile_archives")
+_TILES_A = "select px, py, r, g, b, a from rgba_cells where ds = 'A' and a > 0"
+
+
+@query("tile_archives", _TILES_A)
 def tile_archives(spark, sf):
-    from ..sinks.tiles import archives, png_column
+    """Tiles to archives of PNG files, and back to cells."""
+    from ..sinks.tiles import archives, png_column, unpacked
+    from ..sources.raster import png_tiles
 
     cells = view(spark, sf, "rgba_cells").where("ds = 'A'").drop("ds")
     tiles = raster.to_blobs(cells, 16).select(lit(2).alias("lod"), "tx", "ty", png_column("rgba", 16).alias("data"))
-    return archives(tiles, ".png", 4)
+    back = png_tiles(unpacked(archives(tiles, ".png", 4)))
+    return raster.to_cells(back.select("tx", "ty", "rgba"), 16).where("a > 0").select("px", "py", *[c(n).cast("bigint").alias(n) for n in "rgba"])
 
 
 @query("tile_jpegs")

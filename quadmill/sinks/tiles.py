@@ -41,6 +41,20 @@ def png_column(rgba: str, size: int = 256) -> Column:
     return encode(F.col(rgba))
 
 
+def unpacked(packed: DataFrame) -> DataFrame:
+    """lod, tx, ty, data of the files of archives (data)."""
+
+    def read(batches):
+        for batch in batches:
+            for blob in batch["data"]:
+                with tarfile.open(fileobj=io.BytesIO(blob)) as tar:
+                    for info in tar:
+                        lod, tx, ty = info.name.partition(".")[0].split("/")
+                        yield pd.DataFrame({"lod": [int(lod)], "tx": [int(tx)], "ty": [int(ty)], "data": [tar.extractfile(info).read()]})
+
+    return packed.select("data").mapInPandas(read, "lod int, tx bigint, ty bigint, data binary")
+
+
 def write_files(tiles: DataFrame, base: str, extension: str, data: str = "data") -> None:
     """{base}/{lod}/{x}/{y}{extension} for rows lod, tx, ty, data."""
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import struct
+import zlib
 
 import numpy as np
 import pandas as pd
@@ -76,6 +77,58 @@ def images(spark: SparkSession, path: str) -> DataFrame:
     return rows.mapInPandas(order, "file string, width int, height int, rgba binary")
 
 
+def png_pixels(content: bytes) -> tuple[int, int, bytes]:
+    """Width, height and RGBA of an 8-bit PNG that isn't interlaced; all filters of rows."""
+    width, height = struct.unpack(">II", content[16:24])
+    bands = {0: 1, 2: 3, 4: 2, 6: 4}[content[25]]
+    at, data = 8, b""
+    while at < len(content):
+        size = int.from_bytes(content[at : at + 4], "big")
+        if content[at + 4 : at + 8] == b"IDAT":
+            data += content[at + 8 : at + 8 + size]
+        at += size + 12
+    raw = np.frombuffer(zlib.decompress(data), np.uint8).reshape(height, width * bands + 1)
+    rows, above = np.zeros((height, width, bands), np.uint8), np.zeros((width, bands), np.int64)
+    for y in range(height):
+        kind, line = int(raw[y, 0]), raw[y, 1:].reshape(width, bands).astype(np.int64)
+        if kind == 1:
+            line = np.cumsum(line, axis=0)
+        elif kind == 2:
+            line = line + above
+        elif kind > 2:
+            left, corner = np.zeros(bands, np.int64), np.zeros(bands, np.int64)
+            for x in range(width):
+                up = above[x]
+                if kind == 3:
+                    guess = (left + up) // 2
+                else:
+                    p = left + up - corner
+                    a, b, c = abs(p - left), abs(p - up), abs(p - corner)
+                    guess = np.where((a <= b) & (a <= c), left, np.where(b <= c, up, corner))
+                line[x] = (line[x] + guess) & 255
+                left, corner = line[x], up
+        above = line & 255
+        rows[y] = above
+    order = {1: "G", 2: "GA", 3: "RGB", 4: "RGBA"}[bands]
+    return width, height, rows.tobytes() if bands == 4 else converted(rows.tobytes(), order, "RGBA") if bands == 3 else grey_pixels(rows)
+
+
+def grey_pixels(rows: np.ndarray) -> bytes:
+    grey = rows.reshape(-1, rows.shape[2])
+    alpha = grey[:, 1:] if grey.shape[1] == 2 else np.full((len(grey), 1), 255, np.uint8)
+    return np.hstack([np.repeat(grey[:, :1], 3, axis=1), alpha]).astype(np.uint8).tobytes()
+
+
+def png_tiles(files: DataFrame) -> DataFrame:
+    """lod, tx, ty, rgba of PNG files (lod, tx, ty, data)."""
+
+    def read(batches):
+        for batch in batches:
+            yield batch[["lod", "tx", "ty"]].assign(rgba=[png_pixels(bytes(d))[2] for d in batch["data"]])
+
+    return files.select("lod", "tx", "ty", "data").mapInPandas(read, "lod int, tx bigint, ty bigint, rgba binary")
+
+
 def converted(pixels: bytes, source: str, target: str) -> bytes:
     """Pixels with their channels in another order, such as BGR to RGBA; a new A is 255."""
     a = np.frombuffer(pixels, np.uint8).reshape(-1, len(source))

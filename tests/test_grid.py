@@ -60,3 +60,15 @@ def test_ranges_reach_the_scan(spark, tmp_path):
     hit = spark.read.parquet(str(tmp_path / "t")).where(grid.in_extent("k", 3, 5, 9, 8, 6))
     assert hit.count() == 7 * 4
     assert "GreaterThanOrEqual(k" in hit._jdf.queryExecution().toString()
+
+
+def test_poles_and_nulls(spark):
+    """Beyond the map's latitudes points fall into its first and last row; null stays null."""
+    rows = [(0, 0.0, 90.0), (1, 0.0, -90.0), (2, 0.0, -91.0), (3, 0.0, 85.06), (4, None, 10.0), (5, 10.0, None), (6, 0.0, 0.0)]
+    df = grid.with_tiles(spark.createDataFrame(rows, "id int, lng double, lat double"), 3)
+    got = {r.id: (r.px, r.py, r.ty) for r in df.collect()}
+    assert got[0][1:] == got[3][1:] == (0, 0) and got[1][1:] == got[2][1:] == (2047, 7)
+    assert got[4][0] is None and got[4][1] is not None and got[5][1:] == (None, None)
+    metres = {r.id: r.m for r in df.select("id", grid.ground_resolution("lat", 3).alias("m")).collect()}
+    assert metres[0] == metres[1] == metres[2] and 0 < metres[0] < metres[6] and metres[5] is None
+    assert grid.box_tiles_py(-180, -90, 180, 90, 3) == (0, 0, 7, 7)

@@ -1,9 +1,12 @@
 import json
 import math
 
+import numpy as np
+import pandas as pd
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from quadmill.operators import mesh
 from quadmill.operators.mesh import Delaunay, build, cut, in_circle, mesh_json, orient, reduce, thin, tile_box, triangulate
 
 place = st.tuples(st.integers(0, 12), st.integers(0, 12), st.integers(0, 50))
@@ -65,3 +68,26 @@ def test_all_points_of_a_dense_tile_count(spark):
     rows = spark.createDataFrame([(*p, 3, 3) for p in at], "x double, y double, elevation double, tx int, ty int")
     (tile,) = triangulate(rows, 3, 64).collect()
     assert any(p.z == 50.0 for p in tile.middle) and tile.n_points <= 64
+
+
+def test_surface_follows_all_points(spark):
+    """Dense tiles at sf0.1's density: the surface is near the points across the whole tile, and
+    neighbours that saw a margin alone agree where they meet."""
+    rng = np.random.default_rng(3)
+    x, y = rng.uniform(-1, 1, 24_000), rng.uniform(-1, 1, 24_000)
+    z = 50 * np.sin(3 * x) + 40 * np.cos(4 * y)
+    side = 2.0 / 4
+    rows = pd.DataFrame({"x": x, "y": y, "elevation": z, "tx": ((x + 1) / side).astype(int), "ty": ((1 - y) / side).astype(int)})
+    tiles = {(r.tx, r.ty): r for r in mesh.triangulate(spark.createDataFrame(rows), 2, 128, (0, 0, 3, 3)).collect()}
+    assert set(tiles) == {(i, j) for i in (1, 2) for j in (1, 2)}
+    for (tx, ty), r in tiles.items():
+        box = mesh.tile_box(tx, ty, 2)
+        parts = {k: [tuple(p) for p in getattr(r, k)] for k in ("corners", "north", "east", "south", "west", "middle")}
+        surface, _ = mesh.build(parts, *box)
+        own = rows[(rows.tx == tx) & (rows.ty == ty)]
+        off = [abs(surface.height(a, b) - c) for a, b, c in own[["x", "y", "elevation"]].itertuples(index=False) if surface.height(a, b) is not None]
+        assert len(off) > 0.95 * len(own) and np.mean(off) < 1 and max(off) < 8
+        xs = np.array([p[0] for p in parts["middle"]])
+        assert xs.max() - xs.min() > 0.8 * (box[2] - box[0])
+    near = lambda a, b: all(min(np.abs(np.array(p) - np.array(q)).max() for q in b) < 1e-6 for p in a)
+    assert near(tiles[1, 1].east, tiles[2, 1].west) and near(tiles[1, 1].south, tiles[1, 2].north)

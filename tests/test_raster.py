@@ -137,3 +137,47 @@ def test_metadata_and_world_files(spark, tmp_path):
 def test_channel_orders():
     assert source.converted(bytes([1, 2, 3, 4, 5, 6]), "RGB", "BGRA") == bytes([3, 2, 1, 255, 6, 5, 4, 255])
     assert source.converted(bytes([1, 2, 3, 4]), "RGBA", "RGB") == bytes([1, 2, 3])
+
+
+def test_png_of_any_filter_is_read():
+    """Row filters 0 to 4, and grey, grey with alpha, RGB and RGBA."""
+    import struct
+    import zlib
+
+    from quadmill.sources.raster import png_pixels
+
+    rng, height, width = np.random.default_rng(4), 10, 7
+    for kind, bands in ((0, 1), (4, 2), (2, 3), (6, 4)):
+        image = rng.integers(0, 256, (height, width, bands), dtype=np.int64)
+        raw = b""
+        for y in range(height):
+            f, out = y % 5, np.zeros((width, bands), np.uint8)
+            for x in range(width):
+                left = image[y, x - 1] if x else np.zeros(bands, int)
+                up = image[y - 1, x] if y else np.zeros(bands, int)
+                corner = image[y - 1, x - 1] if x and y else np.zeros(bands, int)
+                p = left + up - corner
+                near = [min(((abs(int(p[b]) - int(v[b])), i) for i, v in enumerate((left, up, corner))))[1] for b in range(bands)]
+                paeth = np.array([(left, up, corner)[near[b]][b] for b in range(bands)])
+                out[x] = (image[y, x] - (0, left, up, (left + up) // 2, paeth)[f]) & 255
+            raw += bytes([f]) + out.tobytes()
+        chunk = lambda name, data: struct.pack(">I", len(data)) + name + data + b"\0\0\0\0"
+        content = b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", struct.pack(">IIBBBBB", width, height, 8, kind, 0, 0, 0)) + chunk(b"IDAT", zlib.compress(raw)[:20]) + chunk(b"IDAT", zlib.compress(raw)[20:]) + chunk(b"IEND", b"")
+        w, h, pixels = png_pixels(content)
+        got = np.frombuffer(pixels, np.uint8).reshape(h, w, 4)
+        alpha = image[..., -1:] if bands in (2, 4) else np.full((height, width, 1), 255)
+        colour = image[..., :3] if bands >= 3 else np.repeat(image[..., :1], 3, axis=2)
+        assert (w, h) == (width, height) and (got == np.concatenate([colour, alpha], axis=2)).all()
+
+
+def test_a_layer_is_seen_by_other_catalogs(spark, tmp_path):
+    import pytest
+
+    from quadmill.plans.catalog import Catalog, Layer
+
+    layer = Layer("a", "image", 3, [0.0, 0.0, 1.0, 1.0])
+    Catalog(spark, str(tmp_path)).create_layer(layer)
+    with pytest.raises(ValueError, match="exists"):
+        Catalog(spark, str(tmp_path)).create_layer(layer)
+    Catalog(spark, str(tmp_path)).create_layer(Layer("a", "image", 5, [0.0, 0.0, 1.0, 1.0]), force=True)
+    assert [r.maxlod for r in Catalog(spark, str(tmp_path)).layers().collect()] == [5]
