@@ -183,7 +183,7 @@ class Chunk:
     def read_triples(self, rows: pd.DataFrame) -> None:
         rows = rows.sort_values("bucket")
         whole = lambda name: np.concatenate([unpacked(x) for x in rows[name]] or [np.zeros(0, np.uint64)]).astype(np.int64)
-        self.c3, self.c2, self.t3, self.owned = map(whole, ("count", "total", "types", "owned"))
+        self.c3, self.c2, self.t3 = map(whole, ("count", "total", "types"))
 
     def sorted_words(self) -> tuple[np.ndarray, np.ndarray]:
         order = np.argsort(self.words)
@@ -328,10 +328,10 @@ def score(docs: DataFrame) -> DataFrame:
 
     def send_words(rows: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         own = Chunk(rows.iloc[0])
-        own.read_triples(answers)
+        own.owned = np.concatenate([unpacked(x) for x in answers.sort_values("bucket")["owned"]] or [np.zeros(0, np.uint64)]).astype(np.int64)
         return own.send_words(int(rows["chunk"].iloc[0]), buckets)
 
-    sent = chunks.groupBy("chunk").cogroup(triples.groupBy("chunk")).applyInPandas(send_words, "chunk bigint, bucket int, keys binary, count binary, types binary")
+    sent = chunks.groupBy("chunk").cogroup(triples.select("chunk", "bucket", "owned").groupBy("chunk")).applyInPandas(send_words, "chunk bigint, bucket int, keys binary, count binary, types binary")
     words = stored(sent.groupBy("bucket").applyInPandas(bucket_words, "chunk bigint, bucket int, count binary, types binary, n bigint, v bigint"), "lm-words")
     total = words.agg(F.sum("n").alias("n"), F.sum("v").alias("v")).first()
     n, v = int(total["n"] or 0), int(total["v"] or 0)
@@ -347,6 +347,6 @@ def score(docs: DataFrame) -> DataFrame:
             "n_known": n_known, "train_tokens": n, "base_score": base, "score": full,
         })
 
-    answers = triples.unionByName(words.drop("n", "v"), allowMissingColumns=True)
+    answers = triples.drop("owned").unionByName(words.drop("n", "v"), allowMissingColumns=True)
     kinds = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
     return chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(finish, kinds)
