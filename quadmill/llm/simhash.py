@@ -52,8 +52,6 @@ SKETCH = 64
 #: How far below the similarity a sketch's estimate discards a pair (six standard errors); of the
 #: order of shingles: one in so many texts is counted, and so many shingles are kept.
 SLACK, SAMPLE, COMMON = 0.3, 64, 1 << 17
-#: Texts of a shingle with which each of its texts is compared first.
-LEADERS = 2
 
 WORDS = re.compile(rb"[^\x20\x09-\x0D]+")
 
@@ -183,9 +181,11 @@ def similar_dedup(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     pair is lost. The order puts shingles that are frequent in a sample last; exactness
     doesn't depend on the sample. By the same order, all that two texts have in common beyond
     their prefixes' common shingles is in what follows the prefix of one of them, so that
-    pairs with too few common ones are discarded. Each text is compared with LEADERS texts of each shingle
-    first, which joins most of a large class at small cost and decides nothing else; then all
-    texts of a shingle that are of different classes yet are compared. Sketches discard pairs
+    pairs with too few common ones are discarded. Each text is compared with two leaders of each shingle
+    first, one drawn by a hash and one with most shingles that are frequent in the sample (in a
+    crowd of edited copies, the one edited least); that joins most of a large class at small
+    cost and decides nothing else. Then all texts of a shingle that are of different classes yet
+    are compared. Sketches discard pairs
     that are below by SLACK or more; all others are verified on the whole sets.
 
     Edge cases: null text is empty; empty texts are copies of each other; of rows that repeat
@@ -198,23 +198,23 @@ def similar_dedup(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     def measured(batches):
         for batch in whole_texts(batches):
             found = [measure(t, similarity, shared.value) for t in batch["_qm_text"]]
-            out = pd.DataFrame(found, columns=["fp", "sketch", "prefix", "n"])
+            out = pd.DataFrame(found, columns=["fp", "sketch", "prefix", "n", "central"])
             yield out.assign(node=batch["node"].to_numpy(), doc_id=batch["doc_id"].to_numpy(dtype=object))
 
     pieces = text_pieces(texts.withColumn("doc_id", F.col("doc_id").cast("string")), "body")
-    rows = pieces.mapInPandas(measured, "node bigint, doc_id string, fp bigint, sketch array<int>, prefix array<bigint>, n bigint")
+    rows = pieces.mapInPandas(measured, "node bigint, doc_id string, fp bigint, sketch array<int>, prefix array<bigint>, n bigint, central float")
     rows = rows.withColumn("doc_id", F.col("doc_id").cast("bigint"))
     # One row a key, so that the joins below have no aggregation beside them and their
     # skewed partitions can be split.
     rows = stored(rows.dropDuplicates(["node"]), "near-rows")
-    each = stored(rows.select("node", "n", F.explode("prefix").alias("shingle")), "near-prefixes")
+    each = stored(rows.select("node", "n", "central", F.explode("prefix").alias("shingle")), "near-prefixes")
     # Fingerprints are nodes of the graph too, so that no text is joined with its own.
     mark = lambda fp: F.xxhash64(F.lit("fp"), fp)
     close = links(stored(rows.select("fp").distinct(), "near-fingerprints"))
     edges = rows.select(F.col("node").alias("src"), mark(F.col("fp")).alias("dst")).union(close.select(mark(F.col("src")), mark(F.col("dst"))))
     edges = edges.union(leader_links(rows, each, texts, similarity))
     before = stored(connected_components(edges, "near-links"), "near-before")
-    more = prefix_links(rows, each, texts, before, similarity)
+    more = prefix_links(each, texts, before, similarity)
     edges = before.select(F.col("node").alias("src"), F.col("component").alias("dst")).union(more).where("src <> dst")
     classes = stored(connected_components(edges, "near-links"), "near-classes")
 
@@ -253,22 +253,23 @@ def common_shingles(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return shingles[order], top["n"].to_numpy(np.int64)[order]
 
 
-def prefix_of(shingles: np.ndarray, similarity: float, common: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+def prefix_of(shingles: np.ndarray, similarity: float, common: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, float]:
+    """A set's prefix, and the share of its shingles that are common."""
     n, (known, times) = len(shingles), common
     rank = np.zeros(n, np.int64)
     if len(known) and n:
         at = np.minimum(np.searchsorted(known, shingles), len(known) - 1)
         rank = np.where(known[at] == shingles, times[at], 0)
     most = n - int(np.ceil(similarity * n - 1e-9)) + 1 if n else 0
-    return shingles[np.lexsort((shingles, rank))[:most]].view(np.int64)
+    return shingles[np.lexsort((shingles, rank))[:most]].view(np.int64), float((rank > 0).mean()) if n else 0.0
 
 
-def measure(text: str, similarity: float, common: tuple[np.ndarray, np.ndarray]) -> tuple[int, np.ndarray, np.ndarray, int]:
-    """SimHash of five-word shingles, their sketch, prefix and number."""
+def measure(text: str, similarity: float, common: tuple[np.ndarray, np.ndarray]) -> tuple[int, np.ndarray, np.ndarray, int, float]:
+    """SimHash of five-word shingles, their sketch, prefix, number, and how common they are."""
     words = WORDS.findall(text.encode("utf-8", "surrogatepass").lower())
     digest, n = xxhash.xxh64_intdigest, max(1, len(words) - NEAR_WORDS + 1)
     if not words:
-        return 0, np.zeros(0, np.int32), np.zeros(0, np.int64), 0
+        return 0, np.zeros(0, np.int32), np.zeros(0, np.int64), 0, 0.0
     ones, sketch, every = np.zeros(64, np.int64), np.zeros(0, np.uint32), []
     for at in range(0, n, CHUNK):
         part = words[at : min(at + CHUNK, n) + NEAR_WORDS - 1]
@@ -279,7 +280,8 @@ def measure(text: str, similarity: float, common: tuple[np.ndarray, np.ndarray])
         sketch = np.unique(np.concatenate([sketch, (hashes & 0xFFFFFFFF).astype(np.uint32)]))[:SKETCH]
     value = int.from_bytes(np.packbits(ones * 2 > n).tobytes(), "big")
     whole = np.unique(np.concatenate(every))
-    return signed(value), sketch.view(np.int32), prefix_of(whole, similarity, common), len(whole)
+    prefix, central = prefix_of(whole, similarity, common)
+    return signed(value), sketch.view(np.int32), prefix, len(whole), central
 
 
 def fitting(n: Column, other: Column, similarity: float) -> Column:
@@ -287,17 +289,18 @@ def fitting(n: Column, other: Column, similarity: float) -> Column:
 
 
 def leader_links(rows: DataFrame, each: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """Verified links (src, dst) of texts with the leaders of their shingles; ``each``: node, n, shingle."""
-    leaders = F.array_distinct(F.array(*[F.min_by(F.struct(F.col("node").alias("to"), F.col("n").alias("m")), F.xxhash64("node", F.lit(k))) for k in range(LEADERS)]))
+    """Verified links (src, dst) of texts with the leaders of their shingles; ``each``: node, n, central, shingle."""
+    own, draw = F.struct(F.col("node").alias("to"), F.col("n").alias("m")), F.xxhash64("node")
+    leaders = F.array_distinct(F.array(F.min_by(own, draw), F.max_by(own, F.struct("central", draw))))
     shared = stored(each.groupBy("shingle").agg(F.count("*").alias("times"), leaders.alias("lead")).where("times > 1"), "near-leaders")
     pairs = each.join(shared, "shingle").select("node", "n", F.inline("lead")).where(fitting(F.col("n"), F.col("m"), similarity) & (F.col("node") != F.col("to")))
     pairs = pairs.select(F.least("node", "to").alias("src"), F.greatest("node", "to").alias("dst")).distinct()
     return verified(stored(pairs, "near-pairs"), rows, texts, similarity)
 
 
-def prefix_links(rows: DataFrame, each: DataFrame, texts: DataFrame, before: DataFrame, similarity: float) -> DataFrame:
+def prefix_links(each: DataFrame, texts: DataFrame, before: DataFrame, similarity: float) -> DataFrame:
     """Verified links (src, dst) of all texts that are in different classes of ``before`` and share a shingle of ``each``."""
-    own = stored(each.join(before, "node", "left").withColumn("component", F.coalesce("component", "node")), "near-own-prefixes")
+    own = stored(each.drop("central").join(before, "node", "left").withColumn("component", F.coalesce("component", "node")), "near-own-prefixes")
     shared = own.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("shingle")
     met = stored(own.join(stored(shared, "near-apart"), "shingle"), "near-shared")
     other = met.select("shingle", F.col("node").alias("node2"), F.col("component").alias("component2"), F.col("n").alias("n2"))
@@ -306,7 +309,7 @@ def prefix_links(rows: DataFrame, each: DataFrame, texts: DataFrame, before: Dat
     after = lambda n: F.ceil(n * similarity - 1e-9) - 1  # noqa: E731  shingles behind the prefix of n
     most = F.col("common") + F.greatest(after(F.col("n")), after(F.col("n2")))
     pairs = pairs.where(most * (1 + similarity) >= (F.col("n") + F.col("n2")) * similarity - 1e-6)
-    return verified(stored(pairs.select("src", "dst"), "near-prefix-pairs"), rows, texts, similarity)
+    return verified(stored(pairs.select("src", "dst"), "near-prefix-pairs"), None, texts, similarity)
 
 
 def beside(pairs: DataFrame, table: DataFrame, column: str) -> DataFrame:
@@ -316,8 +319,9 @@ def beside(pairs: DataFrame, table: DataFrame, column: str) -> DataFrame:
     return half.join(table.select(F.col("node").alias("dst"), F.col(column).alias("b")), "dst")
 
 
-def verified(pairs: DataFrame, rows: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (src, dst) of ``similarity`` or more: sketches discard clear others, whole sets decide."""
+def verified(pairs: DataFrame, rows: DataFrame | None, texts: DataFrame, similarity: float) -> DataFrame:
+    """The stored pairs (src, dst) of ``similarity`` or more: sketches of ``rows``, if given,
+    discard clear others, whole sets decide."""
 
     # What the sketches have in common is at least the union's smallest hashes that both texts have.
     likely = F.size(F.array_intersect("a", "b")) >= F.greatest(F.size("a"), F.size("b")) * (similarity - SLACK)
@@ -333,7 +337,7 @@ def verified(pairs: DataFrame, rows: DataFrame, texts: DataFrame, similarity: fl
 
         return pd.Series([similar(x, y) for x, y in zip(a, b)], dtype="bool")
 
-    left = stored(beside(pairs, rows, "sketch").where(likely).select("src", "dst"), "near-likely")
+    left = stored(beside(pairs, rows, "sketch").where(likely).select("src", "dst"), "near-likely") if rows else pairs
     need = stored(left.select(F.col("src").alias("node")).union(left.select("dst")).distinct(), "near-needed")
     bodies = stored(texts.select("node", "body").join(need, "node", "left_semi").dropDuplicates(["node"]), "near-bodies")
     return stored(beside(left, bodies, "body").where(alike("a", "b")).select("src", "dst"), "near-alike")
