@@ -17,6 +17,7 @@ rows get equal scores; other columns are never inputs.
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -52,6 +53,15 @@ def ngrams(text: str) -> np.ndarray:
     return np.flatnonzero(seen).astype(np.int32)
 
 
+def packed(features: np.ndarray) -> bytes:
+    """Steps between sorted numbers, deflated: half of what the numbers take, on their way to the driver."""
+    return zlib.compress(np.diff(features, prepend=0).astype("<u4").tobytes(), 1)
+
+
+def unpacked(blob: bytes) -> np.ndarray:
+    return np.cumsum(np.frombuffer(zlib.decompress(blob), "<u4")).astype(np.int32)
+
+
 @dataclass
 class Model:
     """margin = gain[features].sum() / sqrt(square[features].sum()) + bias."""
@@ -144,12 +154,12 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Mod
 
     def features(batches):
         for batch in whole_texts(batches):
-            found = [ngrams(t).tobytes() for t in batch["_qm_text"]]
+            found = [packed(ngrams(t)) for t in batch["_qm_text"]]
             yield pd.DataFrame({"doc_id": batch["doc_id"], "label": batch["label"].astype("int32"), "features": found})
 
     sample = text_pieces(texts, "body").mapInPandas(features, "doc_id bigint, label int, features binary").toPandas()
     sample = sample.sort_values(["doc_id", "features"]).drop_duplicates("doc_id")
-    return fit([np.frombuffer(b, np.int32) for b in sample["features"]], sample["label"].to_numpy(int))
+    return fit([unpacked(b) for b in sample["features"]], sample["label"].to_numpy(int))
 
 
 def score_column(spark, model: Model) -> Column:

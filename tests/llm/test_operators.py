@@ -528,6 +528,7 @@ def test_quality_model_against_plain_version():
             new = min(max(alpha[i] - (y[i] * (v[i] @ w) - 1) / (v[i] @ v[i]), 0), most)
             w += (new - alpha[i]) * y[i] * v[i]
             alpha[i] = new
+    assert all((quality_model.unpacked(quality_model.packed(f)) == f).all() for f in [*rows_in, rows_in[0][:0]])
     model = quality_model.fit_margin(rows_in, labels)
     assert np.allclose([model.margin(f) for f in rows_in], v @ w, atol=1e-4)
     whole = quality_model.fit(rows_in, labels)
