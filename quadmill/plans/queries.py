@@ -689,7 +689,7 @@ def mesh_pyramid(spark, sf):
     return elevation_level(triangulate(_mesh_points(spark, sf), 3, 64, (0, 0, 7, 7)), 3, 64)
 
 
-_TILES_A = "select px, py, r, g, b, a from rgba_cells where ds = 'A' and a > 0"
+_TILES_A = "select px, py, r, g, b, cast(a as bigint) as a from rgba_cells where ds = 'A' and a > 0"
 
 
 @query("tile_archives", _TILES_A)

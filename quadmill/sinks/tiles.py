@@ -33,6 +33,11 @@ def raw32(values) -> bytes:
     return np.asarray(values, "<f4").tobytes()
 
 
+def point_records(points) -> bytes:
+    """Rows x, y, elevation, weight as records of a point tile."""
+    return np.asarray(points, "<f8").reshape(-1, 4).tobytes()
+
+
 def png_column(rgba: str, size: int = 256) -> Column:
     @F.pandas_udf("binary")
     def encode(blobs: pd.Series) -> pd.Series:

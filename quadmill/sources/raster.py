@@ -36,6 +36,19 @@ def raw_cells(tiles: DataFrame, size: int = 256, nodata: float = -9999.0) -> Dat
     return tiles.mapInPandas(read, "lod int, px bigint, py bigint, v float")
 
 
+def point_tiles(tiles: DataFrame) -> DataFrame:
+    """Points (lod, tx, ty, x, y, elevation, weight) of tiles of records of four little-endian
+    doubles; what is left of a record that was cut off is dropped."""
+
+    def read(batches):
+        for batch in batches:
+            for lod, tx, ty, data in zip(batch["lod"], batch["tx"], batch["ty"], batch["data"]):
+                rows = np.frombuffer(data, "<f8", len(data) // 32 * 4).reshape(-1, 4)
+                yield pd.DataFrame(rows, columns=["x", "y", "elevation", "weight"]).assign(lod=lod, tx=tx, ty=ty)
+
+    return tiles.select("lod", "tx", "ty", "data").mapInPandas(read, "lod int, tx bigint, ty bigint, x double, y double, elevation double, weight double")
+
+
 def ascii_grids(spark: SparkSession, path: str) -> DataFrame:
     """Cells (file, px, py, x, y, v) of ESRI ASCII grids, rows from the top; bad files give none."""
     files = spark.read.format("binaryFile").load(path).select("path", "content")

@@ -181,3 +181,12 @@ def test_a_layer_is_seen_by_other_catalogs(spark, tmp_path):
         Catalog(spark, str(tmp_path)).create_layer(layer)
     Catalog(spark, str(tmp_path)).create_layer(Layer("a", "image", 5, [0.0, 0.0, 1.0, 1.0]), force=True)
     assert [r.maxlod for r in Catalog(spark, str(tmp_path)).layers().collect()] == [5]
+
+
+def test_point_tiles_round_trip(spark):
+    """Records of points come back; an empty tile has none, and a record that was cut off is dropped."""
+    points = [(0.25, -0.5, 12.5, 1.0), (0.125, 0.75, -3.0, 0.0)]
+    whole = tiles.point_records(points)
+    rows = [(3, 1, 2, whole), (3, 1, 3, b""), (3, 2, 2, whole[:40])]
+    got = source.point_tiles(spark.createDataFrame(rows, "lod int, tx bigint, ty bigint, data binary")).collect()
+    assert sorted(map(tuple, got)) == sorted([(3, 1, 2, *p) for p in points] + [(3, 2, 2, *points[0])])
