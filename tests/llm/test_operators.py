@@ -386,6 +386,28 @@ def test_url_relative_links(spark):
     assert dict(con.sql(url_filter.judge_sql()).select("page_id, verdict").fetchall()) == got
 
 
+def test_url_spellings_of_links(spark):
+    """Dot segments, base addresses, references, root paths; no links from comments, scripts, titles."""
+    link = lambda u: f'<link rel="canonical" href="{u}">'
+    bad = link("http://bad.net/")
+    data = [
+        (1, "http://a.org/b/c/d", link("../e/./f?q=../g")), (2, "http://a.org/b/e/f?q=../g", bad), (3, "http://a.org/x/../b/e/f?q=../g", ""),
+        (4, "http://b.org/b", '<base href="/deep/er/">' + link("../m")), (5, "http://b.org/deep/m", bad), (6, "http://b.org/m", ""),
+        (7, "http://c.org", bad), (8, "http://c.org/", ""), (9, "http://c.org?x", ""),
+        (10, "http://d.org/1", link("/2?a&#61;b&amp;c&#x3D;&#x1F600;")), (11, "http://d.org/2?a=b&c=\U0001f600", bad),
+        (12, "http://e.org/1", f"<!-- {bad} --><SCRIPT>{bad}</script ><title>{bad}</title>"), (13, "http://e.org/2", f"<!-- open {bad}"),
+        (14, "http://f.org/1", link("/2&#0;&#xD800;&#9999999;")), (15, "http://f.org/2" + "\ufffd" * 3, bad), (16, "http://g.org/1", link("../../../..")), (17, "http://g.org", bad),
+        (18, "http://h.org/1", link("/2?x=&amp;amp;")), (19, "http://h.org/2?x=&amp;", bad), (20, "http://h.org/2?x=&", ""), (21, None, ""), (22, "http:///", bad), (23, "none", bad),
+        (24, "http://i.org/1", '<base href="mailto:x@bad.net">' + link("2")), (25, "http://i.org/2", bad),
+    ]
+    df = spark.createDataFrame(data, "page_id bigint, url string, html string")
+    got = {r.page_id: r.verdict for r in url_filter.judge(df).collect()}
+    free = {6, 9, 12, 13, 20, 21, 23}
+    assert got == {k: "allow" if k in free else "block" for k in range(1, 26)}
+    con, pages = duckdb.connect(), df.toPandas()  # noqa: F841
+    assert dict(con.sql(url_filter.judge_sql()).select("page_id, verdict").fetchall()) == got
+
+
 def test_url_blocks_without_allow(spark):
     data = [(k, f"http://p{k}.org/", f'<link rel="canonical" href="http://p{k + 1}.org/">') for k in range(40)] + [(40, "http://p40.org/", '<link rel="canonical" href="http://z.net/">'), (41, "http://q.org/", "")]
     got = {r.page_id: r.verdict for r in url_filter.judge(spark.createDataFrame(data, "page_id bigint, url string, html string")).collect()}
