@@ -16,6 +16,21 @@ def expand(df: DataFrame, x0="x0", y0="y0", x1="x1", y1="y1") -> DataFrame:
     return rows.withColumn("ty", F.explode(F.sequence(y0, y1)))
 
 
+class TilesOf:
+    """Table function: tiles (tx, ty) of an inclusive extent; none if a bound is null."""
+
+    def eval(self, x0: int, y0: int, x1: int, y1: int):
+        if None not in (x0, y0, x1, y1):
+            for tx in range(x0, x1 + 1):
+                for ty in range(y0, y1 + 1):
+                    yield tx, ty
+
+
+def register(spark: SparkSession) -> None:
+    """Make ``tiles_of(x0, y0, x1, y1)`` known to SQL. ``expand`` does the same inside the JVM."""
+    spark.udtf.register("tiles_of", F.udtf(TilesOf, returnType="tx bigint, ty bigint"))
+
+
 def layer_tiles(spark: SparkSession, x0: int, y0: int, x1: int, y1: int, top: int, lowest: int = 1) -> DataFrame:
     """Tiles of an extent at ``top`` and of its ancestors on each level."""
     levels = spark.range(lowest, top + 1).withColumnRenamed("id", "lod")

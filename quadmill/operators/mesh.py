@@ -182,6 +182,15 @@ class Delaunay:
             self._add(*t)
         return ring
 
+    def remove_nearest(self, x: float, y: float) -> int | None:
+        """Take away the nearest vertex of the triangle at a place, the lowest number at a tie;
+        None if there is no such vertex."""
+        near = [v for v in self.locate((x, y)) if v > 2]
+        if not near:
+            return None
+        v = min(near, key=lambda v: (math.hypot(self.points[v][0] - x, self.points[v][1] - y), v))
+        return v if self.remove(v) else None
+
     def triangles(self) -> list[tuple[int, int, int]]:
         """Each once, without the outside."""
         return [(a, b, c) for (a, b), c in self.left.items() if 2 < a < b and a < c]

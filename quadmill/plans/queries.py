@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import color, crs, general, geodesy, grid, linear
+from ..functions import color, crs, general, geodesy, grid, linear, times
 from ..operators import binning, jobs, pyramid, raster, terrain, vector
 from .fixtures import table, view, with_views
 
@@ -784,3 +784,57 @@ def string_functions(spark, sf):
         "p_partkey", F.rtrim(general.delimited(F.concat("p_brand", lit("//"), "n")), lit("/")).alias("kept"), general.middle("p_name", lit(2), lit(4)).alias("mid"), F.size(general.tokens("p_type", " ,")).cast("bigint").alias("n_tokens"),
         general.url_host("url").alias("host"), general.url_file("url").alias("file"), "whole", general.relative("whole", lit("/data/dem")).alias("seen"), R6(general.b_curve(c("p_size") * 1.0)).alias("spline"),
     )
+
+
+# Files of records, times and table functions -------------------------------------------------------
+
+
+@query("point_files", f"{points_sql(8)} select cast(8 as integer) as lod, tx, ty, lng as x, lat as y, elev_c/100.0 as elevation from q_t")
+def point_files(spark, sf):
+    """Points to records of their tile, and back."""
+    from ..sinks.tiles import point_records
+    from ..sources.raster import point_tiles
+
+    def pack(key, rows):
+        data = point_records(rows[["x", "y", "elevation", "weight"]].sort_values(["x", "y", "elevation"]))
+        return rows.iloc[:1][["lod", "tx", "ty"]].assign(data=data)
+
+    p = points(spark, sf, 8).select(lit(8).alias("lod"), "tx", "ty", c("lng").alias("x"), c("lat").alias("y"), (c("elev_c") / 100.0).alias("elevation"), lit(1.0).alias("weight"))
+    files = p.groupBy("tx", "ty").applyInPandas(pack, "lod int, tx bigint, ty bigint, data binary")
+    return point_tiles(files).drop("weight")
+
+
+@query("voxel_files", "select cast(4 as integer) as lod, i, j, k, (i+0.5::double)/16 as x, (j+0.5::double)/16 as y, (k+0.5::double)/16 as elevation, cast(r as integer) as r, cast(g as integer) as g, cast(b as integer) as b, cast(intensity as integer) as intensity from cloud")
+def voxel_files(spark, sf):
+    """Colored points to records of their voxel, and back."""
+    from ..sinks.records import voxel_records
+    from ..sources.records import voxel_points
+
+    place = [((c(v) + lit(0.5)) / 16).alias(n) for v, n in zip("ijk", ("x", "y", "elevation"))]
+    return voxel_points(voxel_records(view(spark, sf, "cloud").select(lit(4).alias("lod"), "i", "j", "k", *place, "r", "g", "b", "intensity")))
+
+
+@query("mesh_files", f"{points_sql(8)} select tx, ty, lng as x, lat as y, elev_c/100.0 as z from q_t")
+def mesh_files(spark, sf):
+    """Inner points of mesh tiles to mesh files, and back."""
+    from ..sinks.records import mesh_records
+    from ..sources.records import mesh_tiles
+
+    point = F.struct(c("lng").alias("x"), c("lat").alias("y"), (c("elev_c") / 100.0).alias("z"))
+    tiles = points(spark, sf, 8).groupBy("tx", "ty").agg(F.sort_array(F.collect_list(point)).alias("middle"))
+    zero = F.struct(*[lit(0.0).alias(n) for n in "xyz"])
+    tiles = tiles.select(lit(8).alias("lod"), "tx", "ty", F.array(*[zero] * 4).alias("corners"), *[F.slice("middle", 1, 0).alias(n) for n in ("north", "east", "south", "west")], "middle")
+    return mesh_tiles(mesh_records(tiles)).select("tx", "ty", F.explode("middle").alias("p")).select("tx", "ty", "p.x", "p.y", "p.z")
+
+
+@query("tile_generator", "select c_custkey, tx, unnest(range(c_nationkey%8, c_nationkey%8+2)) as ty from (select c_custkey, c_nationkey, unnest(range(c_custkey%16, c_custkey%16+3)) as tx from customer)")
+def tile_generator(spark, sf):
+    jobs.register(spark)
+    boxes = table(spark, sf, "customer").selectExpr("c_custkey", "c_custkey % 16 as x0", "c_nationkey % 8 as y0").selectExpr("*", "x0 + 2 as x1", "y0 + 1 as y1")
+    return spark.sql("select c_custkey, tx, ty from {boxes}, lateral tiles_of(cast(x0 as bigint), cast(y0 as bigint), cast(x1 as bigint), cast(y1 as bigint))", boxes=boxes)
+
+
+@query("time_texts", "select event_id, strftime(ts, '%Y%m%dT%H%M%S') || case when epoch_us(ts) % 1000000 = 0 then '' else '.' || strftime(ts, '%f') end as iso, strftime(ts, '%Y-%b-%d %H:%M:%S') as stamp, epoch_us(ts) % 86400000000 / 1e6 as seconds, true as same from events")
+def time_texts(spark, sf):
+    t = table(spark, sf, "events").withColumn("iso", times.iso("ts"))
+    return t.select("event_id", "iso", times.stamp("ts").alias("stamp"), times.seconds_between(F.date_trunc("day", "ts"), "ts").alias("seconds"), (times.from_iso("iso") == c("ts")).alias("same"))

@@ -49,9 +49,9 @@ def point_tiles(tiles: DataFrame) -> DataFrame:
     return tiles.select("lod", "tx", "ty", "data").mapInPandas(read, "lod int, tx bigint, ty bigint, x double, y double, elevation double, weight double")
 
 
-def ascii_grids(spark: SparkSession, path: str) -> DataFrame:
+def ascii_grids(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     """Cells (file, px, py, x, y, v) of ESRI ASCII grids, rows from the top; bad files give none."""
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).select("path", "content")
 
     def read(batches):
         for batch in batches:
