@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.mesh import tile_box
-from ..sources.records import LISTS, VOXEL
+from ..sources.records import LISTS, VOXEL, bounded_batches, pieces
 
 
 def voxel_records(points: DataFrame) -> DataFrame:
@@ -32,18 +34,33 @@ def mesh_record(box, parts: dict) -> bytes:
     return np.asarray(box, "<f8").tobytes() + full(parts["corners"]) + b"".join(len(parts[n]).to_bytes(4, "little") + full(parts[n]) for n in LISTS)
 
 
+def coordinates(lists: pa.ListArray) -> list[np.ndarray]:
+    """Rows x, y, z of each list of points; a null number is NaN."""
+    points = lists.flatten()
+    if lists.null_count or points.null_count:
+        raise ValueError("a list of points or a point in it is null")
+    rows = np.column_stack([points.field(n).to_numpy(zero_copy_only=False).astype("<f8") for n in "xyz"])
+    ends = (lists.offsets.to_numpy() - lists.offsets[0].as_py()).tolist()
+    return [rows[a:b] for a, b in zip(ends, ends[1:])]
+
+
 def mesh_records(tiles: DataFrame) -> DataFrame:
-    """lod, tx, ty, data of mesh tiles (lod, tx, ty and the parts)."""
+    """lod, tx, ty, data of mesh tiles (lod, tx, ty and the parts). Points stay in Arrow's columns."""
+    place, parts = ["lod", "tx", "ty"], ["corners", *LISTS]
 
     def pack(batches):
         for batch in batches:
-            out = []
-            for r in batch.to_dict("records"):
-                parts = {n: [(p["x"], p["y"], p["z"]) for p in r[n]] for n in ("corners", *LISTS)}
-                out.append(mesh_record(tile_box(r["tx"], r["ty"], r["lod"]), parts))
-            yield batch[["lod", "tx", "ty"]].assign(data=out)
-
-    return tiles.select("lod", "tx", "ty", "corners", *LISTS).mapInPandas(pack, "lod int, tx bigint, ty bigint, data binary")
+            lengths = sum(pc.list_value_length(batch[n]).fill_null(0).to_numpy(zero_copy_only=False).astype(int) for n in parts)
+            for first, n in pieces((32 * lengths + 52).tolist()):
+                piece = batch.slice(first, n)
+                lods, txs, tys = (piece[n].to_numpy(zero_copy_only=False).tolist() for n in place)
+                lists = zip(*(coordinates(piece[n]) for n in parts))
+                out = [mesh_record(tile_box(tx, ty, lod), dict(zip(parts, own))) for lod, tx, ty, own in zip(lods, txs, tys, lists)]
+                yield pa.RecordBatch.from_arrays([*piece.select(place).columns, pa.array(out, pa.binary())], names=[*place, "data"])
+
+    bounded_batches(tiles.sparkSession)
+    rows = tiles.select(F.col("lod").cast("int"), F.col("tx").cast("bigint"), F.col("ty").cast("bigint"), *parts)
+    return rows.mapInArrow(pack, "lod int, tx bigint, ty bigint, data binary")
 
 
 def append_points(points: DataFrame, path: str, keys: list[str] = ["tx", "ty"], block: int = 3) -> None:  # noqa: B006

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +17,8 @@ VOXEL_PATH = r"(\d+)/(\d+)/(\d+)-(\d+)\.dat$"
 #: Lists of a mesh file, in their order there.
 LISTS = ("north", "east", "south", "west", "middle")
 PARTS = ", ".join(f"{p} array<struct<x:double,y:double,z:double>>" for p in ("corners", *LISTS))
+#: Bytes of mesh files that a Python worker converts at once, and of the batches that it gets.
+PIECE = 1 << 22
 
 
 def voxel_files(spark: SparkSession, path: str) -> DataFrame:
@@ -50,16 +56,45 @@ def mesh_parts(data: bytes) -> tuple[tuple[float, ...], dict[str, np.ndarray]] |
     return tuple(numbers[:4].tolist()), parts
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Lower the session's limit of an Arrow batch to PIECE bytes (and a row): several batches of
+    64 MB, which is Spark's limit, would lie in an executor and its workers at once."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", PIECE)
+
+
+def pieces(sizes: Iterable[int], most: int = PIECE) -> Iterator[tuple[int, int]]:
+    """First row and number of rows of pieces of at most ``most`` bytes; a larger row is one alone."""
+    first = n = held = 0
+    for size in sizes:
+        if n and held + size > most:
+            yield first, n
+            first, n, held = first + n, 0, 0
+        n, held = n + 1, held + size
+    if n:
+        yield first, n
+
+
+def point_lists(parts: list[np.ndarray]) -> pa.ListArray:
+    """A list of points for each array of rows; NaN is null, as mesh_records writes null."""
+    rows = np.concatenate([np.empty((0, 4)), *parts])
+    points = pa.StructArray.from_arrays([pa.array(rows[:, k].copy(), from_pandas=True) for k in range(3)], names=list("xyz"))
+    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, parts)]), pa.int32()), points)
+
+
 def mesh_tiles(files: DataFrame) -> DataFrame:
     """lod, tx, ty and the parts of mesh files (lod, tx, ty, data), as elevation_level takes
-    them; a file that is cut off gives no row."""
+    them; a file that is cut off gives no row. Points stay in Arrow's columns."""
+    place, parts = ["lod", "tx", "ty"], ["corners", *LISTS]
 
     def read(batches):
         for batch in batches:
-            rows = []
-            for lod, tx, ty, data in zip(batch["lod"], batch["tx"], batch["ty"], batch["data"]):
-                if found := mesh_parts(bytes(data)):
-                    rows.append({"lod": lod, "tx": tx, "ty": ty, **{n: [dict(zip("xyz", p)) for p in ps[:, :3].tolist()] for n, ps in found[1].items()}})
-            yield pd.DataFrame(rows, columns=["lod", "tx", "ty", "corners", *LISTS])
+            for first, n in pieces(pc.binary_length(batch["data"]).to_pylist()):
+                piece = batch.slice(first, n)
+                found = [mesh_parts(data) for data in piece["data"].to_pylist()]
+                whole = piece.select(place).filter(pa.array([f is not None for f in found]))
+                lists = [point_lists([f[1][name] for f in found if f]) for name in parts]
+                yield pa.RecordBatch.from_arrays([*whole.columns, *lists], names=[*place, *parts])
 
-    return files.select("lod", "tx", "ty", "data").mapInPandas(read, f"lod int, tx bigint, ty bigint, {PARTS}")
+    bounded_batches(files.sparkSession)
+    rows = files.select(F.col("lod").cast("int"), F.col("tx").cast("bigint"), F.col("ty").cast("bigint"), "data")
+    return rows.mapInArrow(read, f"lod int, tx bigint, ty bigint, {PARTS}")

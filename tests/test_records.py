@@ -4,6 +4,7 @@ import glob
 
 import numpy as np
 import pytest
+from pyspark.errors import PythonException
 from pyspark.sql import functions as F
 
 from quadmill.functions import times
@@ -42,6 +43,45 @@ def test_mesh_files_round_trip(spark):
     assert again[0].data[32:] == blob[32:]
 
 
+def test_mesh_points_do_not_become_python_objects(spark, tmp_path, monkeypatch):
+    def noted(f):
+        def call(*args):  # local, so that it goes to the workers whole
+            import sys
+            import uuid
+
+            (tmp_path / uuid.uuid4().hex).write_text(str(sys.getallocatedblocks()))
+            return f(*args)
+
+        return call
+
+    monkeypatch.setattr(sink, "tile_box", noted(sink.tile_box))
+    monkeypatch.setattr(source, "mesh_parts", noted(source.mesh_parts))
+    point = "struct(cast(id * 1000 + k as double) as x, k / 8D as y, if(k = 5, null, id + 0.5D) as z)"
+    others = [f"cast(array() as array<struct<x:double,y:double,z:double>>) as {n}" for n in source.LISTS[:-1]]
+    tiles = spark.range(0, 500, 1, 1).selectExpr("9 as lod", "id as tx", "id % 7 as ty", "array_repeat(struct(0D as x, 0D as y, 0D as z), 4) as corners", *others, f"transform(sequence(0, 999 * int(id % 2 = 0)), k -> {point}) as middle")
+    back = source.mesh_tiles(sink.mesh_records(tiles))
+    of_points = lambda df: df.selectExpr("lod", "tx", "ty", "inline(middle)")
+    want, got = of_points(tiles), of_points(back)
+    assert got.count() == 250 * 1001 and want.exceptAll(got).isEmpty() and got.exceptAll(want).isEmpty()
+    assert back.where("size(corners) = 4 and size(north) + size(east) + size(south) + size(west) = 0").count() == 500
+    seen = [int(f.read_text()) for f in tmp_path.iterdir()]
+    assert len(seen) >= 1000 and max(seen) < 1_000_000  # a point made a dict and three floats at least, in either direction
+
+
+def test_pieces_cover_all_rows_within_their_size():
+    assert list(source.pieces([])) == []
+    assert list(source.pieces([3, 3, 3, 9, 1, 0, 0], 6)) == [(0, 2), (2, 1), (3, 1), (4, 3)]
+    assert list(source.pieces([0, 0], 0)) == [(0, 2)]
+    assert list(source.pieces([7], 6)) == [(0, 1)]
+
+
+@pytest.mark.parametrize("middle", [None, [None, (1.0, 2.0, 3.0)]])
+def test_null_lists_and_points_are_not_passed_over(spark, middle):
+    frame = spark.createDataFrame([(2, 1, 1, [], [], [], [], [], middle)], f"lod int, tx bigint, ty bigint, {source.PARTS}")
+    with pytest.raises(PythonException):
+        sink.mesh_records(frame).collect()
+
+
 def test_appended_points_are_found_by_box(spark, tmp_path):
     path = str(tmp_path / "layer")
     rows = spark.range(4000).selectExpr("5 as lod", "id % 32 as tx", "(id div 32) % 32 as ty", "id as n")
